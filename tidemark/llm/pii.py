@@ -109,7 +109,7 @@ def _drawn(key: str) -> Column:
             {_letters("regexp_extract(norm, '@(.*[.])[^.]+$', 1)", of="domain_hex")},
             regexp_extract(norm, '[^.]+$', 0))""",
         f"when kind = 'key' then {_letters('norm', '5')}",
-        f"when kind = 'secret' and norm rlike '^[0-9a-f]+$' then {_letters('norm', alphabet='abcdef')}",
+        f"when kind = 'secret' and (norm rlike '^[0-9a-f]+$' or norm rlike '^[0-9A-F]+$') then {_letters('norm', alphabet='abcdef')}",
         f"when kind = 'secret' then {_letters('norm')}",
         f"when kind = 'ip' then concat_ws('.', cast(240 + {_number('1')} % 16 as string), cast({_number('2')} as string), cast({_number('3')} as string), cast({_number('4')} as string))",
         f"when kind = 'iban' then {_letters('norm', '3')}",
@@ -199,8 +199,8 @@ _FORM = """case
         substring(raw, i, 1) rlike '[0-9]',
         named_struct('out', concat(a.out, substring(regexp_replace(surrogate, '[^0-9]', ''), a.at, 1)), 'at', a.at + 1),
         named_struct('out', concat(a.out, substring(raw, i, 1)), 'at', a.at)), a -> a.out)
-    when kind = 'email' and raw = upper(raw) then upper(surrogate)
-    when kind = 'email' and substring(raw, 1, 1) rlike '[A-Z]' then concat(upper(substring(surrogate, 1, 1)), substring(surrogate, 2))
+    when kind = 'email' and raw <> norm then aggregate(sequence(1, length(surrogate)), '', (a, i) -> concat(a, if(
+        substring(raw, i, 1) rlike '[A-Z]', upper(substring(surrogate, i, 1)), substring(surrogate, i, 1))))
     when (kind like 'given%' or kind like 'surname%') and raw = upper(raw) and length(raw) > 1 then upper(surrogate)
     else surrogate end"""
 
@@ -220,7 +220,8 @@ def replace_entities(docs: DataFrame, key: str = "tidemark", kinds: list[str] |
     PATTERNS, all by default. length_col: a column that holds the text's length
     and follows it. Null and empty texts, and those without entities, are
     unchanged. Repeated rows are replaced alike. An empty table gives an empty
-    result. Names are found after a form of address only.
+    result. Names are found after a form of address only, and numbers count as cards
+    only if their checksum holds.
     """
     kinds = list(kinds or PATTERNS)
     pattern = "|".join(f"(?:{PATTERNS[k]})" for k in kinds)
@@ -230,10 +231,14 @@ def replace_entities(docs: DataFrame, key: str = "tidemark", kinds: list[str] |
     whole = F.sha2(F.concat_ws("\u0001", text, F.to_json(F.struct(*(F.col(c) for c in docs.columns if c != text_col)))), 256)
     hits = written(found.withColumn("__row", whole), "hits")
     each = hits.select("__row", F.posexplode("__found").alias("pos", "mention")).distinct()
-    each = each.withColumn("k", F.expr(_kind("mention", kinds))).withColumn("parts", F.expr(_parts("mention")))
+    each = each.withColumn("k", F.expr(_kind("mention", kinds)))
+    # A number of a card's form whose checksum fails is another number: it stays.
+    other = F.expr("k = 'card' and " + _luhn("regexp_replace(mention, '[^0-9]', '')") + " <> 0")
+    each = each.withColumn("k", F.when(other, "other").otherwise(F.col("k"))).withColumn("parts", F.expr(_parts("mention")))
     each = written(each.select("__row", "pos", F.posexplode("parts").alias("part", "p")).select("__row", "pos", "part", "p.*"), "mentions")
-    table = surrogates(each.select("kind", "norm").distinct(), key)
-    new = each.join(table.select("kind", "norm", "surrogate"), ["kind", "norm"]).withColumn("out", F.concat("before", F.expr(_FORM)))
+    table = surrogates(each.where("kind <> 'other'").select("kind", "norm").distinct(), key)
+    new = each.join(table.select("kind", "norm", "surrogate"), ["kind", "norm"], "left")
+    new = new.withColumn("out", F.concat("before", F.when(F.col("kind") == "other", F.col("raw")).otherwise(F.expr(_FORM))))
     by_mention = new.repartition("__row").groupBy("__row", "pos").agg(F.array_sort(F.collect_list(F.struct("part", "out"))).alias("o"))
     by_mention = by_mention.select("__row", "pos", F.expr("array_join(transform(o, x -> x.out), '')").alias("out"))
     by_row = by_mention.groupBy("__row").agg(F.array_sort(F.collect_list(F.struct("pos", "out"))).alias("__outs"))
