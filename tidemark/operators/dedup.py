@@ -62,7 +62,8 @@ def numbered(df: DataFrame, order: str, name: str = "seq") -> DataFrame:
 def kept(df: DataFrame) -> DataFrame:
     """df as a table in the shared folder that spark.checkpoint.dir names (a temporary one where it is unset)."""
     spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "tidemark-shared")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = base or os.path.join(tempfile.gettempdir(), "tidemark-shared")  # a local session without any setting
     path = f"{base.rstrip('/')}/kept-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

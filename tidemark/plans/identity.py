@@ -96,7 +96,7 @@ def filename_key(spark, sf):
     return table(spark, sf, "pages").select("page_id", I.file_key("url").alias("key"))
 
 
-@query()
+@query("SELECT page_id, regexp_replace(trim(regexp_replace(url, '\\s+', ' ', 'g')), '/{2,}', '/', 'g') AS key, regexp_replace(lower(regexp_replace(url, '\\.[A-Za-z0-9]{1,5}$', '')), '[^\\pL\\pN]', '', 'g') AS folded FROM pages")
 def path_key(spark, sf):
     return table(spark, sf, "pages").select("page_id", arrow.path_key()("url").alias("key"), arrow.filename_key()("url").alias("folded"))
 

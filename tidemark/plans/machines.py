@@ -51,7 +51,24 @@ def results(spark, sf):
     return table(spark, sf, "events").select(F.col("user_id").cast("string").alias("key"), "event_id", F.col("ts").cast("timestamp").alias("ts"), status.alias("status"), F.col("event_type").alias("signature"))
 
 
-@query()
+# One event a step for all keys at once: the state is the last alert and the current run of transient results.
+@query("""WITH RECURSIVE e AS (SELECT CAST(user_id AS VARCHAR) AS key, event_id, ts, event_type AS sig, CASE event_type WHEN 'view' THEN 'success' WHEN 'click' THEN 'busy' WHEN 'signup' THEN 'waiting' ELSE 'failed' END AS status,
+        row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events),
+    m(key, event_id, i, action, open_sig, last_alert, run_sig, run_n, run_since) AS (
+        SELECT key, CAST(-1 AS BIGINT), CAST(0 AS BIGINT), CAST('' AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS TIMESTAMP), CAST(NULL AS VARCHAR), 0, CAST(NULL AS TIMESTAMP) FROM e WHERE i = 1
+        UNION ALL
+        SELECT key, event_id, i, action,
+            CASE action WHEN 'alert' THEN sig WHEN 'recovery' THEN NULL WHEN 'silent' THEN NULL ELSE open_sig END,
+            CASE action WHEN 'alert' THEN ts WHEN 'recovery' THEN NULL WHEN 'silent' THEN NULL ELSE last_alert END, rs, rn, rt
+        FROM (SELECT key, event_id, i, ts, sig, open_sig, last_alert, rs, rn, rt,
+                CASE WHEN transient AND rn < 2 AND ts - rt < INTERVAL 60 MINUTE THEN 'routine' WHEN status = 'success' THEN CASE WHEN open_sig IS NOT NULL AND last_alert IS NOT NULL THEN 'recovery' ELSE 'silent' END
+                     WHEN open_sig = sig AND ts - last_alert < INTERVAL 4 HOUR THEN 'suppressed' ELSE 'alert' END AS action
+              FROM (SELECT e.key, e.event_id, e.i, e.ts, e.sig, e.status, m.open_sig, m.last_alert, e.status IN ('busy', 'waiting', 'paused') AS transient,
+                      CASE WHEN e.status IN ('busy', 'waiting') THEN e.sig END AS rs,
+                      CASE WHEN e.status NOT IN ('busy', 'waiting') THEN 0 WHEN m.run_sig = e.sig THEN m.run_n + 1 ELSE 1 END AS rn,
+                      CASE WHEN e.status NOT IN ('busy', 'waiting') THEN NULL WHEN m.run_sig = e.sig THEN m.run_since ELSE e.ts END AS rt
+                    FROM m JOIN e ON e.key = m.key AND e.i = m.i + 1)))
+    SELECT key, event_id, action FROM m WHERE i > 0""")
 def incident_suppression(spark, sf):
     return state.replay(results(spark, sf), ["key"], ["ts", "event_id"], "key string, event_id bigint, action string", state.incident_step)
 
@@ -59,11 +76,23 @@ def incident_suppression(spark, sf):
 DELIVERY = {"error": "failed", "view": "enqueue", "click": "failed", "signup": "enqueue", "purchase": "delivered"}
 
 
-@query()
+@query("""WITH RECURSIVE e AS (SELECT CAST(user_id AS VARCHAR) || '/' || CAST(event_id % 8 AS VARCHAR) AS key, event_id, ts, CASE event_type WHEN 'view' THEN 'enqueue' WHEN 'signup' THEN 'enqueue' WHEN 'purchase' THEN 'delivered' ELSE 'failed' END AS ev,
+        row_number() OVER (PARTITION BY user_id, event_id % 8 ORDER BY ts, event_id) AS i FROM events),
+    m(key, event_id, i, status, attempts, due) AS (
+        SELECT key, CAST(-1 AS BIGINT), CAST(0 AS BIGINT), 'new', 0, CAST(NULL AS TIMESTAMP) FROM e WHERE i = 1
+        UNION ALL
+        SELECT e.key, e.event_id, e.i,
+            CASE WHEN m.status = 'new' AND ev = 'enqueue' THEN 'pending' WHEN m.status = 'pending' AND ev = 'delivered' THEN 'sent' WHEN m.status = 'pending' AND ev = 'failed' AND m.attempts >= 3 THEN 'dead_letter' ELSE m.status END,
+            CASE WHEN m.status = 'pending' AND ev = 'failed' THEN m.attempts + 1 ELSE m.attempts END,
+            CASE WHEN m.status = 'pending' AND ev = 'delivered' THEN NULL WHEN m.status = 'pending' AND ev = 'failed' AND m.attempts >= 3 THEN NULL
+                 WHEN m.status = 'pending' AND ev = 'failed' THEN e.ts + to_minutes(CASE m.attempts WHEN 0 THEN 5 WHEN 1 THEN 10 ELSE 20 END) ELSE m.due END
+        FROM m JOIN e ON e.key = m.key AND e.i = m.i + 1)
+    SELECT key, event_id, status, attempts, strftime(due, '%Y-%m-%d %H:%M:%S') AS next_attempt FROM m WHERE i > 0""")
 def outbox_replay(spark, sf):
     event = F.create_map(*(F.lit(x) for kv in DELIVERY.items() for x in kv))[F.col("event_type")]
     own = table(spark, sf, "events").select(F.concat_ws("/", F.col("user_id"), (F.col("event_id") % 8)).alias("key"), "event_id", F.col("ts").cast("timestamp").alias("ts"), event.alias("event"))
-    return state.replay(own, ["key"], ["ts", "event_id"], "key string, event_id bigint, status string, attempts int, next_attempt timestamp", state.outbox_step)
+    out = state.replay(own, ["key"], ["ts", "event_id"], "key string, event_id bigint, status string, attempts int, next_attempt timestamp", state.outbox_step)
+    return out.withColumn("next_attempt", F.date_format("next_attempt", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query("""WITH e AS (SELECT user_id, event_id, ts, event_type = 'purchase' AS done FROM events WHERE event_type IN ('error', 'purchase')),

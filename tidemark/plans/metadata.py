@@ -199,7 +199,8 @@ def first_rule_wins(spark, sf):
 
 @query()
 def key_number_snippets(spark, sf):
-    return table(spark, sf, "documents").where(F.col("text").rlike("[0-9]")).select("doc_id", F.explode(arrow.key_numbers()("text")).alias("snippet"))
+    text = F.concat(F.col("title"), F.lit(" rose "), (F.col("n_chars") % 90).cast("string"), F.lit("% to $"), (F.col("doc_id") % 50).cast("string"), F.lit("B at last"))
+    return notes(spark, sf).select("doc_id", F.explode(arrow.key_numbers()(text)).alias("snippet"))
 
 
 BULLET = "list_filter(str_split(text, chr(10)), lambda x: contains(x, 'idiot') OR contains(x, 'the '))"
