@@ -152,7 +152,8 @@ def placed(pieces: DataFrame, capacity: int) -> DataFrame:
     table = np.array(sorted(plan(histogram, capacity)), np.int64).reshape(-1, 6)
     before = F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     bases = written(counts.select("part", "length", F.coalesce(before, F.lit(0)).alias("__base")), "bases")
-    ranked = pieces.join(bases, ["part", "length"]).withColumn("__rank", F.col("__base") + F.col("place"))
+    # The counts grow with the partitions: a merge join, whatever their size now.
+    ranked = pieces.join(bases.hint("merge"), ["part", "length"]).withColumn("__rank", F.col("__base") + F.col("place"))
     shared = pieces.sparkSession.sparkContext.broadcast(table)
 
     @F.pandas_udf("sequence_id bigint, offset bigint")
