@@ -20,19 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._shared import tokenizer_file
-from .tokens import WHITE
+from .tokens import WHITE, byte_letters
 
 LONG = 200
 NONE = 1 << 60
 
 
-def byte_letters() -> list[str]:
-    """The letter that stands for each byte: itself if printable in Latin-1, else the next one from U+0100 on."""
-    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    spare = iter(range(0x100, 0x200))
-    return [chr(b) if b in shown else chr(next(spare)) for b in range(256)]
-
-
 class WordBPE:
     """definition: the JSON text of a tokenizer that normalizes, splits words and marks their ends."""
 

@@ -2,14 +2,18 @@
 
 The byte-level pre-tokenizer splits a text at white space the same way whatever
 stands around a chunk (an optional space and a run of other characters, or
-white space alone), so a chunk's ids don't depend on its context. Each chunk that
-isn't known yet is encoded by the library; known ones are looked up.
+white space alone), so a chunk's ids don't depend on its context. A chunk that
+isn't known yet goes to the library: to its BPE model directly if it is a word
+with punctuation behind it, which are two pieces whatever the word, else to the
+whole tokenizer.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -17,7 +21,30 @@ import numpy as np
 # The white space of the pre-tokenizer's pattern.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 CHUNK = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
-BATCH_CHARS = 2_000_000
+
+
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte: itself if printable in Latin-1, else the next one from U+0100 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    spare = iter(range(0x100, 0x200))
+    return [chr(b) if b in shown else chr(next(spare)) for b in range(256)]
+
+
+#: Marks that form one piece behind a word. An apostrophe may begin a contraction, so it isn't one.
+MARKS = ".,;:!?%&*$#)]}\"-"
+
+
+class Known(dict):
+    """Chunks and their ids; a chunk that isn't there is encoded, and kept while there is room."""
+
+    def __init__(self, encode, most: int):
+        self.encode, self.most = encode, most
+
+    def __missing__(self, chunk: str):
+        ids = self.encode(chunk)
+        if len(self) < self.most and len(chunk) <= 64:
+            self[chunk] = ids
+        return ids
 
 
 class ByteLevelEncoder:
@@ -30,51 +57,42 @@ class ByteLevelEncoder:
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        import json
-
         parsed = json.loads(definition)
         usual = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
-        pre = parsed["pre_tokenizer"] or {}
         #: Without the usual pre-tokenizer the library encodes whole texts.
-        self.by_chunk = parsed["normalizer"] is None and usual.items() <= pre.items()
+        self.by_chunk = parsed["normalizer"] is None and usual.items() <= (parsed["pre_tokenizer"] or {}).items()
         self.special = [t["content"] for t in parsed["added_tokens"]]
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.known: dict[str, bytes] = {}
-        self.most = known_chunks
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        wide = self.tokenizer.get_vocab_size() > 1 << 16
+        self.dtype, self.code = np.dtype("<u4" if wide else "<u2"), "I" if wide else "H"
+        self.piece = self.tokenizer.model.tokenize
+        self.letters = dict(enumerate(byte_letters()))
+        self.known = Known(self._chunk, known_chunks)
+
+    def _packed(self, ids: list[int]) -> bytes:
+        return array(self.code, ids).tobytes()
+
+    def _library(self, text: str) -> bytes:
+        return self._packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _chunk(self, chunk: str) -> bytes:
+        word = chunk.rstrip(MARKS)
+        if not (word[1:] if word[:1] == " " else word).isalpha():
+            return self._library(chunk)
+        ids = [t.id for t in self.piece(word.encode().decode("latin-1").translate(self.letters))]
+        if len(word) < len(chunk):
+            ids += [t.id for t in self.piece(chunk[len(word) :])]
+        return self._packed(ids)
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """Each text's ids, packed in self.dtype; a null text has none."""
-        group, chars = [], 0
+        look = self.known.__getitem__
         for text in texts:
-            group.append(text or "")
-            chars += len(group[-1])
-            if chars >= BATCH_CHARS:
-                yield from self._group(group)
-                group, chars = [], 0
-        yield from self._group(group)
-
-    def _group(self, texts: list[str]) -> Iterator[bytes]:
-        chunks = [CHUNK.findall(t) if self.by_chunk and not any(s in t for s in self.special) else None for t in texts]
-        new = list(set().union(*(c for c in chunks if c is not None)) - self.known.keys())
-        fresh = dict(zip(new, self._library(new)))
-        room = self.most - len(self.known)
-        if room >= len(fresh):
-            self.known.update(fresh)
-            look = self.known.__getitem__
-        else:
-            known = self.known
-
-            def look(c: str) -> bytes:
-                return known.get(c) or fresh[c]
-
-            keep = [c for c in new[: max(room, 0)] if len(c) <= 64]
-        for t, c in zip(texts, chunks):
-            yield self._library([t])[0] if c is None else b"".join(map(look, c))
-        if room < len(fresh):
-            self.known.update((c, fresh[c]) for c in keep)
+            if not text:
+                yield b""
+            elif self.by_chunk and not any(s in text for s in self.special):
+                yield b"".join(map(look, CHUNK.findall(text)))
+            else:
+                yield self._library(text)
 
 
 _encoders: dict[int, ByteLevelEncoder] = {}
