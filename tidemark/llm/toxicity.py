@@ -1,8 +1,8 @@
 """Toxicity: a counterfactual-regularised linear classifier over sentences.
 
 A text is cut into windows of words. A window's logit is the sum of its distinct
-words' weights, where a word's weight is the sum of three features' (the word, and its
-first four and five letters, which catch inflected forms). A document's
+words' weights, where a word's weight is the sum of its features' (the word, and its first
+four to seven letters, which catch inflected forms). A document's
 score is the logistic function of its highest window, so a long document is
 judged by its worst passage and not by its length.
 
@@ -16,6 +16,9 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
+from array import array
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -50,9 +53,9 @@ IDENTITIES = [
 SWAPS = {w: [x for x in row.split() if x != w] for row in IDENTITIES for w in row.split()}
 
 
-def word_features(word: str) -> tuple[str, str, str]:
-    """Names of a lower-case word's features: the word, its first four and its first five letters."""
-    return word, f"4 {word[:4]}", f"5 {word[:5]}"
+def word_features(word: str) -> list[str]:
+    """Names of a lower-case word's features: the word, and its first four to seven letters."""
+    return [word, *(f"{n} {word[:n]}" for n in range(4, 8) if len(word) >= n)]
 
 
 def windows(text: str | None) -> list[list[str]]:
@@ -94,15 +97,46 @@ def _swapped(window: list[str], turn: int) -> list[str]:
     return [SWAPS[w][turn % len(SWAPS[w])] if w in SWAPS else w for w in window]
 
 
+def _telling(texts: list[str], toxic: np.ndarray, support: int) -> dict[str, float]:
+    """The features that may get a weight, each with its smoothed log odds.
+
+    They follow `support` different words or more in toxic documents, so copies of
+    one passage don't count anew, and are more frequent there. Hashed counts
+    rule most words out before any of them is kept by name.
+    """
+    counts = np.zeros(1 << 22, np.int32)
+
+    def places(words) -> np.ndarray:
+        return np.array([zlib.crc32(f.encode("utf-8", "surrogatepass")) & (len(counts) - 1) for w in words for f in word_features(w)], np.int64)
+
+    for i in np.flatnonzero(toxic):
+        np.add.at(counts, places(set(WORD.findall(texts[i].lower()))), 1)
+    before: dict[str, set[str]] = {}
+    positive, negative = Counter(), Counter()
+    for i in np.flatnonzero(toxic):
+        words = WORD.findall(texts[i].lower())
+        often = {w: [f for f, p in zip(word_features(w), places([w])) if counts[p] >= support] for w in set(words)}
+        positive.update({f for own in often.values() for f in own})
+        for last, w in zip(["", *words], words):
+            for f in often[w]:
+                seen = before.setdefault(f, set())
+                if len(seen) < support:
+                    seen.add(last)
+    positive = {f: n for f, n in positive.items() if len(before[f]) >= support}
+    for i in np.flatnonzero(~toxic):
+        negative.update({f for w in set(WORD.findall(texts[i].lower())) for f in word_features(w) if f in positive})
+    p, n = toxic.sum(), (~toxic).sum()
+    odds = {f: float(np.log((c + 1) / (p + 2)) - np.log((negative[f] + 1) / (n + 2))) for f, c in positive.items()}
+    return {f: v for f, v in sorted(odds.items()) if v > 1}
+
+
 def train(texts: list[str | None], labels: list[int], rounds: int = 80, penalty: float = 1.0, shrink: float = 0.1, rate: float = 0.15, support: int = 8) -> ToxicityModel:
     """Learns from texts labelled 0 or 1; penalty weighs the counterfactual term.
 
     Each step pulls every weight towards zero by shrink * rate, so only features
     that keep earning their weight have one: a window's many neutral words must
-    not add up. Only a feature that follows `support` different words or more in
-    toxic documents (copies of one passage don't count anew), and is more
-    frequent there, gets one. No weight is negative: a neutral word doesn't
-    excuse an insult.
+    not add up. No weight is negative: a neutral word doesn't excuse an insult.
+    At last the logits are scaled, by two numbers, to the labels.
 
     Without a label of either class the model is a constant: the labels' mean.
     """
@@ -110,86 +144,83 @@ def train(texts: list[str | None], labels: list[int], rounds: int = 80, penalty:
     if len(y) == 0 or y.min() == y.max():
         p = float(y.mean()) if len(y) else 0.0
         return ToxicityModel({}, float(np.clip(np.log((p + 1e-6) / (1 - p + 1e-6)), -14, 14)))
-    words_known: dict[str, int] = {}
-    features: dict[str, int] = {}
-    rows: list[list[int]] = []
+    texts = [t or "" for t in texts]
+    start = _telling(texts, y > 0, support)
+    features = {f: i for i, f in enumerate(start)}
+    weights = np.array([*start.values(), 0.0]) / 3  # the last stands for no feature
+    size = len(weights)
 
-    def code(word: str) -> int:
-        if word not in words_known:
-            words_known[word] = len(rows)
-            rows.append([features.setdefault(f, len(features)) for f in word_features(word)])
-        return words_known[word]
+    def coded(window: list[str]) -> list[int]:
+        return [features[f] for w in window for f in word_features(w) if f in features]
 
-    codes, starts, owner, pairs, follows = [], [], [], [], []
+    # Each window as the features it has, a document's windows behind one another; the first stands for all that have none.
+    codes, starts, owner, pairs = array("i"), array("i"), array("i"), []
     for d, text in enumerate(texts):
-        if y[d]:
-            words = [code(w) for w in WORD.findall((text or "").lower())]
-            follows.append(np.array([words, [code(""), *words[:-1]]], np.int64) if words else np.zeros((2, 0), np.int64))
+        own, bare = [[size - 1]], size - 1
         for window in windows(text):
+            if found := coded(window):
+                own.append(found)
+            if any(w in SWAPS for w in window):
+                there = coded(_swapped(window, d))
+                if sorted(found) != sorted(there):
+                    pairs.append((found or [bare], there or [bare]))
+        for found in own:
             starts.append(len(codes))
             owner.append(d)
-            codes.extend(map(code, window))
-            if any(w in SWAPS for w in window):
-                pairs.append((list(map(code, window)), list(map(code, _swapped(window, d)))))
-    codes.append(code(""))  # ends the last window, which may be empty
-    codes, starts, owner = np.asarray(codes), np.asarray(starts), np.asarray(owner)
-    table, size = np.asarray(rows), len(features)
+            codes.extend(found)
+    codes, starts, owner = (np.frombuffer(x, np.intc).astype(np.int64) for x in (codes, starts, owner))
+    ends = np.r_[starts[1:], len(codes)]
     first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-    lengths = np.diff(np.r_[starts, len(codes) - 1])
-
-    # Start: the smoothed log odds of each feature's presence in documents of either class.
-    doc_of = np.repeat(owner, lengths)
-    weights, telling = np.zeros(size), np.zeros(size, bool)
-    positives, negatives = y.sum(), (1 - y).sum()
-    here, before = np.concatenate(follows, axis=1)
-    for j in range(3):
-        contexts = np.bincount(np.unique(table[here, j] * len(table) + before) // len(table), minlength=size)
-        seen = np.unique(doc_of * size + table[codes[:-1], j])
-        d, f = seen // size, seen % size
-        p = np.bincount(f, y[d], size)
-        n = np.bincount(f, 1 - y[d], size)
-        odds = np.log((p + 1) / (positives + 2)) - np.log((n + 1) / (negatives + 2))
-        known = (contexts >= support) & (odds > 1)
-        telling |= known
-        weights += np.where(known, odds, 0) / 3
 
     bias, m1, m2 = -2.0, np.zeros(size + 1), np.zeros(size + 1)
-    balance = np.where(y > 0, 0.5 / positives, 0.5 / negatives)
-    for step in range(1, rounds + 1):
-        word_weight = weights[table].sum(1)
-        total = np.add.reduceat(word_weight[codes], starts) * (lengths > 0)
+    balance = np.where(y > 0, 0.5 / y.sum(), 0.5 / (1 - y).sum())
+
+    def tops() -> tuple[np.ndarray, np.ndarray]:
+        """Each document's highest logit, without the bias, and its first window that has it."""
+        total = np.add.reduceat(weights[codes], starts)
         top = np.maximum.reduceat(total, first)
-        # A document's first window that reaches its highest logit.
         at = np.flatnonzero(total == top[owner])
-        at = at[np.r_[True, owner[at][1:] != owner[at][:-1]]]
+        return top, at[np.r_[True, owner[at][1:] != owner[at][:-1]]]
+
+    for step in range(1, rounds + 1):
+        top, at = tops()
         error = (1 / (1 + np.exp(-np.clip(top + bias, -60, 60))) - y) * balance
-        per_word = np.zeros(len(table))
-        spans = [codes[starts[w] : starts[w] + lengths[w]] for w in at]
-        np.add.at(per_word, np.concatenate(spans), np.repeat(error, lengths[at]))
-        if pairs and penalty:
-            for here, there in pairs:
-                change = 2 * penalty * (word_weight[here].sum() - word_weight[there].sum()) / len(pairs)
-                np.add.at(per_word, here, change)
-                np.add.at(per_word, there, -change)
         gradient = np.zeros(size + 1)
-        for j in range(3):
-            gradient[:-1] += np.bincount(table[:, j], per_word, size)
+        for e, w in zip(error, at):
+            np.add.at(gradient, codes[starts[w] : ends[w]], e)
+        for here, there in pairs if penalty else []:
+            change = 2 * penalty * (weights[here].sum() - weights[there].sum()) / len(pairs)
+            np.add.at(gradient, here, change)
+            np.add.at(gradient, there, -change)
         gradient[-1] = error.sum()
         m1 = 0.9 * m1 + 0.1 * gradient
         m2 = 0.99 * m2 + 0.01 * gradient**2
         move = rate * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.99**step)) + 1e-8)
-        weights -= move[:-1]
-        weights = np.maximum(weights - shrink * rate, 0) * telling
+        weights = np.maximum(weights - move[:-1] - shrink * rate, 0)
+        weights[-1] = 0
         bias -= move[-1]
-    return ToxicityModel({f: float(weights[i]) for f, i in features.items() if weights[i] > 0}, float(bias))
+    slope, bias = _scaled(tops()[0], y, balance, bias)
+    return ToxicityModel({f: float(slope * weights[i]) for f, i in features.items() if weights[i] > 0}, bias)
+
+
+def _scaled(top: np.ndarray, y: np.ndarray, balance: np.ndarray, bias: float, ridge: float = 1e-3) -> tuple[float, float]:
+    """Slope and intercept that fit the labels best, by Newton's method; a small ridge keeps them finite."""
+    x, b = np.stack([top, np.ones_like(top)], 1), np.array([1.0, bias])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ b, -60, 60)))
+        g = x.T @ (balance * (p - y)) + ridge * (b - np.array([1.0, bias]))
+        h = (x * (balance * p * (1 - p))[:, None]).T @ x + ridge * np.eye(2)
+        b = b - np.clip(np.linalg.solve(h, g), -2, 2)
+    return max(float(b[0]), 0.0), float(b[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, fold: int = 3, left_out: int = 1, max_per_class: int = 4000, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic") -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, fold: int = 3, left_out: int = 1, max_per_class: int = 2500, id_col: str = "doc_id", text_col: str = "text", label: str = "toxic") -> ToxicityModel:
     """Learns from a sample of at most about max_per_class labelled documents of each class, taken whole."""
     sample = sampled_labels(labels, label, fold, left_out, max_per_class, id_col=id_col)
     # The order fixes the sums, and so the model, whatever the partitions.
     got = sorted((r["label"], r["text"] or "") for r in labelled(docs, sample, text_col, id_col).toLocalIterator())
-    return train([t for _, t in got], [y for y, _ in got])
+    labels = [y for y, _ in got]
+    return train([t for _, t in got], labels)
 
 
 def scored(docs: DataFrame, model: ToxicityModel, text_col: str = "text", out: str = "score") -> DataFrame:
@@ -205,7 +236,7 @@ def scored(docs: DataFrame, model: ToxicityModel, text_col: str = "text", out: s
     return docs.withColumn(out, score(F.col(text_col).cast("string")))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, fold: int = 3, left_out: int = 1, max_per_class: int = 4000) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, fold: int = 3, left_out: int = 1, max_per_class: int = 2500) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of docs.
 
     A null text counts as empty and gets the empty text's score; a null id has
@@ -218,7 +249,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, fold: i
     return rows.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
-def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, fold: int = 3, left_out: int = 1, max_per_class: int = 4000) -> DataFrame:
+def keep_clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, fold: int = 3, left_out: int = 1, max_per_class: int = 2500) -> DataFrame:
     """The rows of docs that score under the threshold, with docs' columns."""
     model = fit(docs, labels, fold, left_out, max_per_class)
     return scored(docs, model, out="__toxicity").where(F.col("__toxicity") < threshold).select(*docs.columns)
