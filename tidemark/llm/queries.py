@@ -69,13 +69,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 ORACLE_SQL = {
     "op7_covertree": """
         WITH v AS (
-            SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), x -> CAST(floor(256 * x) AS BIGINT)) AS q
+            SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: CAST(floor(256 * x) AS BIGINT)) AS q
             FROM embeddings
             WHERE embedding IS NOT NULL AND len(embedding) > 0
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), scored AS (
             SELECT a.vec_id AS query_id, b.vec_id,
-                   CAST(list_sum(list_transform(range(1, len(a.q) + 1), i -> a.q[i] * b.q[i])) AS BIGINT) AS score
+                   CAST(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])) AS BIGINT) AS score
             FROM v a JOIN v b ON a.vec_id <> b.vec_id
             WHERE a.vec_id % 50 = 0
         ), ranked AS (
