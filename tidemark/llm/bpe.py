@@ -1,10 +1,16 @@
 """Byte-pair encoding and decoding for vocabularies with word ends.
 
-A word's merging keeps a contiguous array of part boundaries and one of the
-ranks of adjacent parts. The array is scanned for the least rank, the boundary
-between that pair is deleted, and the two neighbouring ranks are refreshed. Words
+A word's merging keeps two contiguous arrays: its parts, as ids between one
+boundary and the next, and the ranks of adjacent parts. The ranks are scanned for the
+least, the boundary within that pair is deleted, which makes one part of the two,
+and the two neighbouring ranks are refreshed. Words
 longer than LONG parts take a heap with the same order instead, as scanning
 would grow with the square of their length.
+
+Normalization and the split into words are this module's own too. Only texts with
+characters that Python's Unicode tables don't know yet are normalized and
+split by the tokenizers library, whose tables may be newer; their words are
+merged here like all others.
 """
 
 from __future__ import annotations
@@ -14,22 +20,35 @@ import heapq
 import json
 import re
 import unicodedata
+from itertools import chain
 
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._shared import tokenizer_file
-from .tokens import WHITE, byte_letters
+from .tokens import MARKS, WHITE, Known, byte_letters
 
 LONG = 200
 NONE = 1 << 60
 
 
+def unassigned() -> str:
+    """A character class of the code points that Python's Unicode tables don't know."""
+    runs: list[list[int]] = []
+    for c in range(0x110000):
+        if unicodedata.category(chr(c)) == "Cn":
+            if runs and runs[-1][1] == c - 1:
+                runs[-1][1] = c
+            else:
+                runs.append([c, c])
+    return "[" + "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in runs) + "]"
+
+
 class WordBPE:
     """definition: the JSON text of a tokenizer that normalizes, splits words and marks their ends."""
 
-    def __init__(self, definition: str, known_chunks: int = 400_000):
+    def __init__(self, definition: str, known_chunks: int = 800_000):
         d = json.loads(definition)
         model, pre = d["model"], d["pre_tokenizer"]["pretokenizers"]
         steps = [n["type"] for n in d["normalizer"]["normalizers"]]
@@ -37,7 +56,10 @@ class WordBPE:
             raise ValueError("this isn't a word-end BPE of the kind supported here")
         self.end = model["end_of_word_suffix"]
         self.vocab: dict[str, int] = dict(model["vocab"])
-        self.ranks = {tuple(m.split(" ") if isinstance(m, str) else m): i for i, m in enumerate(model["merges"])}
+        merges = [tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+        #: The rank of a pair of ids, and the id that a rank's merge gives.
+        self.ranks = {(self.vocab[a], self.vocab[b]): i for i, (a, b) in enumerate(merges)}
+        self.merged = [self.vocab[a + b] for a, b in merges]
         self.words = regex.compile(pre[0]["pattern"]["Regex"])
         self.special = {t["content"]: t["id"] for t in d["added_tokens"]}
         self.at_special = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
@@ -46,74 +68,87 @@ class WordBPE:
             self.tokens[i] = t
         self.decimals = [str(i) for i in range(len(self.tokens))]
         self.letters = byte_letters()
+        self.newer, self.definition, self.library = re.compile(unassigned()), definition, None
         self.chunks = re.compile(f"[^{WHITE}]+")
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.most = known_chunks
+        self.known = Known(self._chunk, known_chunks)
 
-    def merge(self, word: str) -> list[str]:
-        """The parts of a word of at least one character."""
-        s = "".join(map(self.letters.__getitem__, word.encode("utf-8", "surrogatepass")))
-        parts = [*s[:-1], s[-1] + self.end]
+    def merge(self, word: str) -> list[int]:
+        """The ids of a word of at least one character."""
+        return self.merge_letters("".join(map(self.letters.__getitem__, word.encode("utf-8", "surrogatepass"))))
+
+    def merge_letters(self, s: str) -> list[int]:
+        """The same for a word whose bytes are letters already."""
+        vocab, merged, get = self.vocab, self.merged, self.ranks.get
+        parts = [vocab[c] for c in s[:-1]]
+        parts.append(vocab[s[-1] + self.end])
         if len(parts) > LONG:
             return self._merge_long(parts)
-        text = "".join(parts)
-        bounds = [*range(len(parts)), len(text)]
-        get = self.ranks.get
-
-        def rank(i: int) -> int:
-            """Of the parts that begin at bounds i and i + 1."""
-            if i + 2 >= len(bounds):
-                return NONE
-            return get((text[bounds[i] : bounds[i + 1]], text[bounds[i + 1] : bounds[i + 2]]), NONE)
-
-        ranks = [rank(i) for i in range(len(bounds) - 2)]
+        ranks = [get(pair, NONE) for pair in zip(parts, parts[1:])]
         while ranks and (least := min(ranks)) < NONE:
             i = ranks.index(least)
-            del bounds[i + 1]
-            del ranks[i]
+            parts[i] = merged[least]
+            del parts[i + 1], ranks[i]
             if i < len(ranks):
-                ranks[i] = rank(i)
+                ranks[i] = get((parts[i], parts[i + 1]), NONE)
             if i:
-                ranks[i - 1] = rank(i - 1)
-        return [text[a:b] for a, b in zip(bounds, bounds[1:])]
+                ranks[i - 1] = get((parts[i - 1], parts[i]), NONE)
+        return parts
 
-    def _merge_long(self, parts: list[str]) -> list[str]:
+    def _merge_long(self, parts: list[int]) -> list[int]:
         after, before = [*range(1, len(parts)), -1], [*range(-1, len(parts) - 1)]
         get = self.ranks.get
         heap = [(r, i, parts[i], parts[i + 1]) for i in range(len(parts) - 1) if (r := get((parts[i], parts[i + 1]))) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, a, b = heapq.heappop(heap)
+            rank, i, a, b = heapq.heappop(heap)
             j = after[i]
             if parts[i] != a or j < 0 or parts[j] != b:
                 continue
-            parts[i], parts[j], after[i] = a + b, "", after[j]
+            parts[i], parts[j], after[i] = self.merged[rank], -1, after[j]
             if after[i] >= 0:
                 before[after[i]] = i
             for x in (before[i], i):
                 if x >= 0 and after[x] >= 0 and (r := get((parts[x], parts[after[x]]))) is not None:
                     heapq.heappush(heap, (r, x, parts[x], parts[after[x]]))
-        return [p for p in parts if p]
+        return [p for p in parts if p >= 0]
 
     def _chunk(self, chunk: str) -> tuple[int, ...]:
-        ids = tuple(self.vocab[p] for w in self.words.findall(chunk) for p in self.merge(w))
-        if len(self.known) < self.most and len(chunk) <= 64:
-            self.known[chunk] = ids
-        return ids
+        """The ids of a run without white space. Marks behind a word are a piece of their own."""
+        word = chunk.rstrip(MARKS)
+        if word.isalpha() and len(word) < len(chunk):
+            return self.known[word] + self.known[chunk[len(word) :]]
+        words = [chunk] if chunk.isalpha() else self.words.findall(chunk)
+        return tuple(p for w in words for p in self.merge(w))
+
+    def _newer(self, text: str) -> bool:
+        """Whether a character isn't in Python's tables. Most texts are Latin-1, which is quickly told."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return self.newer.search(text) is not None
+        return False
+
+    def _library_words(self, text: str) -> list[str]:
+        if self.library is None:
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_str(self.definition)
+        return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))]
 
     def encode(self, text: str | None) -> list[int]:
         """The text's ids; a null text has none. Special tokens' strings give their ids."""
-        text, ids, get = text or "", [], self.known.get
+        text, ids, look = text or "", [], self.known.__getitem__
         for i, piece in enumerate(self.at_special.split(text) if self.at_special and self.at_special.search(text) else [text]):
             if i % 2:
                 ids.append(self.special[piece])
                 continue
+            if self._newer(piece):
+                ids.extend(p for w in self._library_words(piece) for p in self.merge_letters(w))
+                continue
             if not piece.isascii():
                 # Lower-casing goes by character: no final sigma.
                 piece = unicodedata.normalize("NFC", piece).replace("Σ", "σ")
-            for chunk in self.chunks.findall(piece.lower()):
-                known = get(chunk)
-                ids += self._chunk(chunk) if known is None else known
+            ids.extend(chain.from_iterable(map(look, self.chunks.findall(piece.lower()))))
         return ids
 
     def decode(self, ids: list[int]) -> str:
