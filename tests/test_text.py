@@ -35,7 +35,7 @@ def test_noisy_and_labels(spark):
 
 
 def test_empty_text_is_all_noise(spark):
-    row = spark.createDataFrame([("",)], "t string").select(*T.quality("t", MARKS)).first()
+    row = T.quality(spark.createDataFrame([("",)], "t string"), "t", MARKS, []).first()
     assert (row.repeated_ratio, row.watermark_ratio, row.noise_ratio) == (1.0, 1.0, 1.0)
     assert (row.chars, row.nonempty_lines, row.max_line, row.meaningful) == (0, 0, 0, 0)
 
@@ -43,7 +43,7 @@ def test_empty_text_is_all_noise(spark):
 def test_gate(spark):
     good = "\n".join(f"Line {i} holds an ordinary sentence about a subject worth reading, number {i * 7}." for i in range(30))
     docs = spark.createDataFrame([("good", good), ("repeats", "\n".join(["The same line again and again, word for word."] * 60)), ("long", "x" * 3000), ("short", "too short")], "k string, t string")
-    own = {r.k: r.ok for r in docs.select("k", *T.quality("t", MARKS)).withColumn("ok", T.acceptable()).collect()}
+    own = {r.k: r.ok for r in T.quality(docs, "t", MARKS, ["k"]).withColumn("ok", T.acceptable()).collect()}
     assert own == {"good": True, "repeats": False, "long": False, "short": False}
 
 

@@ -17,9 +17,13 @@ def escaped(word: str) -> str:
 
 
 def pattern(word: str) -> str:
-    """A regular expression for the lower-cased keyword in lower-cased text."""
-    word = word.strip().lower()
-    return rf"(?<![a-z0-9]){escaped(word)}(?![a-z0-9])" if re.search("[a-z0-9]", word) else escaped(word)
+    """A regular expression for the lower-cased keyword in lower-cased text.
+
+    The word comes first and its boundaries are looked at behind it, so that the
+    engine searches for a literal.
+    """
+    word = escaped(word.strip().lower())
+    return rf"{word}(?<![a-z0-9]{word})(?![a-z0-9])" if re.search("[a-z0-9]", word) else word
 
 
 def any_pattern(words: list[str]) -> str:

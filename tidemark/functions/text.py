@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MAX_LINE = 1200
@@ -12,9 +12,13 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Unicode's white space.
+WHITE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
+
 def strip(c: Column | str) -> Column:
     """Without white space at either end, whatever its kind."""
-    return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")
+    return F.btrim(col(c), F.lit(WHITE))
 
 
 def squeeze(c: Column | str) -> Column:
@@ -28,11 +32,11 @@ def lines(text: Column | str) -> Column:
 
 
 def letters(c: Column | str) -> Column:
-    return F.length(F.regexp_replace(col(c), r"[^\p{L}]", ""))
+    return F.length(F.regexp_replace(col(c), r"[^\p{L}]+", ""))
 
 
 def alphanumerics(c: Column | str) -> Column:
-    return F.length(F.regexp_replace(col(c), r"[^\p{L}\p{N}]", ""))
+    return F.length(F.regexp_replace(col(c), r"[^\p{L}\p{N}]+", ""))
 
 
 def marked(line: Column, marks: list[str]) -> Column:
@@ -48,7 +52,8 @@ def without_marks(c: Column | str, marks: list[str]) -> Column:
     c = col(c)
     for m in sorted(marks, key=len, reverse=True):
         c = F.replace(c, F.lit(m), F.lit(" "))
-    return strip(F.regexp_replace(c, r"[ \t]{2,}", " "))
+    wide = F.contains(c, F.lit("  ")) | F.contains(c, F.lit("\t"))
+    return strip(F.when(wide, F.regexp_replace(c, r"[ \t]{2,}", " ")).otherwise(c))
 
 
 def is_noise(line: Column, marks: list[str]) -> Column:
@@ -153,19 +158,74 @@ def max_line_length(text: Column | str) -> Column:
     return F.coalesce(F.array_max(F.transform(F.split(strip(text), "\n"), lambda x: F.length(F.regexp_replace(x, "\r$", "")))), F.lit(0))
 
 
-def quality(text: Column | str, marks: list[str]) -> list[Column]:
-    """The clean-text gate's measures, by name."""
-    text = strip(text)
-    return [
-        F.length(text).alias("chars"),
-        F.size(lines(text)).alias("nonempty_lines"),
-        max_line_length(text).alias("max_line"),
-        repeated_line_ratio(text).alias("repeated_ratio"),
-        watermark_ratio(text, marks).alias("watermark_ratio"),
-        noise_ratio(text).alias("noise_ratio"),
-        letters(text).alias("language_chars"),
-        meaningful_lines(text).alias("meaningful"),
-    ]
+def lined(df: DataFrame, text: str, marks: list[str], names: list[str]) -> DataFrame:
+    """df with __t, the stripped text, and __lines, what is asked for by name of each line.
+
+    Each step is a projection of its own: an array that several measures read
+    is made once, and each line is searched once.
+    """
+    df = df.withColumn("__t", strip(text)).withColumn("__l", lines("__t"))
+
+    def known(x: Column) -> Column:
+        has = marked(x, marks)
+        body = without_marks(x, marks)
+        noise = (has & ((F.length(x) <= 80) | (F.length(body) < 20))) | x.rlike(r"^[-=_*#\s]{3,}$")
+        facts = {
+            "line": x, "n": F.length(x), "alnum": alphanumerics(x), "letters": letters(x), "tenth": _tenth(x),
+            "replaced": F.length(x) - F.length(F.replace(x, F.lit("�"), F.lit(""))), "marked": has, "noise": noise, "label": is_chart_label(x),
+            "body_n": F.length(body), "body_letters": F.when(has, letters(body)).otherwise(letters(x)), "body_words": body.rlike(r"[\p{L}\p{N}]"),
+        }
+        return F.struct(*(facts[n].alias(n) for n in names))
+
+    return df.withColumn("__lines", F.transform("__l", known))
+
+
+def _noisy(x: Column) -> Column:
+    return ((x["replaced"] > 0) & (x["replaced"] >= x["tenth"])) | ((x["n"] >= 20) & (x["alnum"] < x["tenth"]))
+
+
+def _part(n: Column, share_: float) -> Column:
+    return F.greatest(F.lit(8), F.floor(n * F.lit(share_)).cast("int"))
+
+
+def _share_of(test) -> Column:
+    own = F.col("__lines")
+    return share(F.size(F.filter(own, test)), own)
+
+
+def _repeated(test) -> Column:
+    own = F.transform(F.filter("__lines", test), lambda x: x["line"])
+    return share(repeats(own), own)
+
+
+def quality(df: DataFrame, text: str, marks: list[str], keep: list[str]) -> DataFrame:
+    """(keep, the clean-text gate's measures)."""
+    rows = lined(df, text, marks, ["line", "n", "alnum", "letters", "tenth", "replaced", "marked", "noise"])
+    good = F.filter("__lines", lambda x: (x["n"] >= 20) & ~_noisy(x) & (x["letters"] >= _part(x["n"], 0.20)))
+    return rows.select(
+        *keep, F.length("__t").alias("chars"), F.size("__lines").alias("nonempty_lines"), max_line_length("__t").alias("max_line"),
+        _repeated(lambda x: x["n"] >= 8).alias("repeated_ratio"), _share_of(lambda x: x["noise"] & x["marked"]).alias("watermark_ratio"),
+        _share_of(_noisy).alias("noise_ratio"), letters("__t").alias("language_chars"), F.size(good).alias("meaningful"),
+    )
+
+
+def extractor_quality(df: DataFrame, text: str, marks: list[str], keep: list[str]) -> DataFrame:
+    """(keep, the extractor gate's measures)."""
+    rows = lined(df, text, marks, ["line", "n", "noise", "label", "body_n", "body_letters", "body_words"])
+    good = F.filter("__lines", lambda x: (x["n"] >= 20) & ~x["noise"] & (x["body_words"] | (x["body_n"] == 0)) & (x["body_letters"] >= _part(x["body_n"], 0.25)))
+    rows = rows.select(
+        *keep, F.length("__t").alias("chars"), _repeated(lambda x: ~x["label"]).alias("rep"), _share_of(lambda x: x["noise"]).alias("wm"),
+        F.size(good).alias("good"), weird_tokens("__t").alias("weird"), letters("__t").alias("letters"),
+    )
+    return rows.withColumn("limit", weird_token_limit(F.col("chars"), F.col("good")))
+
+
+def repeated_ratios(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """(keep, repeated_ratio, repeated_body_ratio): both variants, from one array of lines."""
+    rows = df.withColumn("__l", lines(text))
+    long, body = F.filter("__l", lambda x: F.length(x) >= 8), F.filter("__l", lambda x: ~is_chart_label(x))
+    rows = rows.withColumn("__long", long).withColumn("__body", body)
+    return rows.select(*keep, share(repeats(F.col("__long")), F.col("__long")).alias("repeated_ratio"), share(repeats(F.col("__body")), F.col("__body")).alias("repeated_body_ratio"))
 
 
 def acceptable() -> Column:

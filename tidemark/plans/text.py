@@ -75,7 +75,7 @@ MEASURES = f"""{LINES},
 
 
 def gated(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "lang", *T.quality("text", MARKS))
+    docs = T.quality(table(spark, sf, "documents"), "text", MARKS, ["doc_id", "lang"])
     return docs.withColumn("acceptable", T.acceptable())
 
 
@@ -86,19 +86,22 @@ def quality_gate(spark, sf):
 
 @query(f"WITH {MEASURES} SELECT doc_id, round(watermark_ratio, 6) AS watermark_ratio, round(noise_ratio, 6) AS noise_ratio, language_chars FROM m")
 def line_ratios(spark, sf):
-    return table(spark, sf, "documents").select(
-        "doc_id", F.round(T.watermark_ratio("text", MARKS), RATIO).alias("watermark_ratio"), F.round(T.noise_ratio("text"), RATIO).alias("noise_ratio"), T.letters(T.strip("text")).alias("language_chars")
-    )
+    own = T.quality(table(spark, sf, "documents"), "text", MARKS, ["doc_id"])
+    return own.select("doc_id", F.round("watermark_ratio", RATIO).alias("watermark_ratio"), F.round("noise_ratio", RATIO).alias("noise_ratio"), "language_chars")
 
 
 @query(f"WITH {LINES}, a AS {_repeated('length(line) >= 8')}, b AS {_repeated('NOT ' + _label('line'))} SELECT d.doc_id, round(coalesce(a.ratio, 1.0), 6) AS repeated_ratio, round(coalesce(b.ratio, 1.0), 6) AS repeated_body_ratio FROM documents d LEFT JOIN a USING (doc_id) LEFT JOIN b USING (doc_id)")
 def repeated_line_ratio(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.round(T.repeated_line_ratio("text"), RATIO).alias("repeated_ratio"), F.round(T.repeated_body_ratio("text"), RATIO).alias("repeated_body_ratio"))
+    own = T.repeated_ratios(table(spark, sf, "documents"), "text", ["doc_id"])
+    return own.select("doc_id", F.round("repeated_ratio", RATIO).alias("repeated_ratio"), F.round("repeated_body_ratio", RATIO).alias("repeated_body_ratio"))
 
 
 @query(f"WITH {LINES} SELECT d.doc_id, count(line) FILTER ({_meaningful('line')}) AS meaningful, count(line) FILTER ({_body_meaningful('line')}) AS meaningful_body FROM documents d LEFT JOIN l USING (doc_id) GROUP BY d.doc_id")
 def meaningful_lines(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", T.meaningful_lines("text").alias("meaningful"), T.meaningful_body_lines("text", MARKS).alias("meaningful_body"))
+    docs = table(spark, sf, "documents")
+    own = T.quality(docs, "text", MARKS, ["doc_id"]).select("doc_id", "meaningful")
+    body = table(spark, sf, "documents").select("doc_id", T.meaningful_body_lines("text", MARKS).alias("meaningful_body"))
+    return own.join(body, "doc_id")
 
 
 WEIRD = "len(list_distinct(list_filter(regexp_extract_all(text, '[A-Za-z0-9]{20,}'), lambda x: NOT regexp_full_match(x, '[A-Fa-f0-9]{24,}'))))"
@@ -119,13 +122,7 @@ EXTRACTOR = f"""{LINES}, b AS {_repeated('NOT ' + _label('line'))},
 
 
 def extracted(spark, sf):
-    own = T.lines("text")
-    x = table(spark, sf, "documents").select(
-        "doc_id", F.length(T.strip("text")).alias("chars"), T.repeated_body_ratio("text").alias("rep"),
-        T.share(F.size(F.filter(own, lambda l: T.is_noise(l, MARKS))), own).alias("wm"),
-        T.meaningful_body_lines("text", MARKS).alias("good"), T.weird_tokens("text").alias("weird"), T.letters(T.strip("text")).alias("letters"),
-    )
-    x = x.withColumn("limit", T.weird_token_limit(F.col("chars"), F.col("good")))
+    x = T.extractor_quality(table(spark, sf, "documents"), "text", MARKS, ["doc_id"])
     return x.withColumn("acceptable", F.expr("chars >= 1800 and rep < 0.45D and wm < 0.18D and (good >= 10 or (chars >= 1800 and letters >= 500 and letters >= floor(chars * 0.25D))) and weird <= limit"))
 
 
@@ -174,9 +171,14 @@ def hard_wrap(spark, sf):
     return table(spark, sf, "documents").select("doc_id", arrow.hard_wrap(1200)("text").alias("wrapped")).select("doc_id", T.max_line_length("wrapped").alias("max_line"), F.sha2("wrapped", 256).alias("wrapped_sha"))
 
 
-@query(f"WITH {LINES} SELECT doc_id, count(*) AS noisy_lines FROM l WHERE {_noisy('line')} GROUP BY doc_id")
+# The tables hold no noisy line, so every third document gets one of each kind.
+NOISY_TEXT = "CASE WHEN doc_id % 3 = 0 THEN text || chr(10) || repeat('#$%&', 8) || chr(10) || 'a�b�c�' ELSE text END"
+
+
+@query(f"WITH l AS (SELECT doc_id, unnest({sql_lines(NOISY_TEXT)}) AS line FROM documents) SELECT doc_id, count(*) AS noisy_lines FROM l WHERE {_noisy('line')} GROUP BY doc_id")
 def noisy_line_filter(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.size(F.filter(T.lines("text"), T.is_noisy)).cast("bigint").alias("noisy_lines")).where("noisy_lines > 0")
+    docs = table(spark, sf, "documents").select("doc_id", F.expr(NOISY_TEXT).alias("text"))
+    return docs.select("doc_id", F.size(F.filter(T.lines("text"), T.is_noisy)).cast("bigint").alias("noisy_lines")).where("noisy_lines > 0")
 
 
 @query(f"WITH {LINES} SELECT line, count(*) AS n FROM l WHERE {_label('line')} GROUP BY line")
