@@ -103,3 +103,14 @@ def test_documents_against_python(spark):
         if not re.search(r"\d|@", a):
             assert a == b
     assert len(set(known.values())) == len(known) and not set(known) & set(known.values())
+
+
+def test_long_secrets_and_names_leave_no_rest(spark):
+    long, jwt = "aB3" * 100 + "tail", "eyJhbGciOiJI.eyJzdWIiOiIx.sig_nature-9"
+    own = replaced(spark, [f"token={long} end", f"token={jwt}. End", "password: " + "x9" * 100_000, "Señor Juan Carlos García Márquez, Frau Müller-Lüdenscheidt; Mr. Pat O'Brien"])
+    assert re.fullmatch(r"token=(?:[a-z][A-Z]\d){100}[a-z]{4} end", own[0]) and long[200:] not in own[0]
+    out = re.fullmatch(r"token=([\w-]{12})\.([\w-]{12})\.([\w-]{11,12})\. End", own[1])
+    assert out and not set(out.groups()) & set(jwt.split("."))
+    assert re.fullmatch(r"password: (?:[a-z]\d){100000}", own[2]) and own[2][10:] != "x9" * 100_000
+    assert re.fullmatch(r"Señor \S+ \S+ \S+ \S+, Frau \S+; Mr\. \S+ \S+", own[3])
+    assert not re.search("Juan|Carlos|García|Márquez|Müller|Lüdenscheidt|Pat|Brien", own[3])

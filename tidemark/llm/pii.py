@@ -41,18 +41,20 @@ SYLLABLES = {
 }
 
 _address = "|".join(sorted(MALE + FEMALE + NEUTRAL, key=len, reverse=True))
+# A word of a name with its hyphens, and an apostrophe before a capital.
+_word = r"\p{Lu}(?:[\p{L}\p{M}]++|(?=['’]\p{Lu}))(?:(?:-\p{L}|['’]\p{Lu})[\p{L}\p{M}]*+)*+"
 _first = "(?=[" + "".join(sorted({w[0] for w in MALE + FEMALE + NEUTRAL})) + "])"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,6}\.[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
     # One character back first: the long look back is for the few places that pass.
-    "secret": r"(?<=[=: \"'])(?<=[=:] {0,2}[\"']{0,1})(?<=(?i:password|passwd|secret|token|api_key|apikey) {0,2}[=:] {0,2}[\"']{0,1})[A-Za-z0-9+/_-]{8,200}",
+    "secret": r"(?<=[=: \"'])(?<=[=:] {0,2}[\"']{0,1})(?<=(?i:password|passwd|secret|token|api_key|apikey) {0,2}[=:] {0,2}[\"']{0,1})[A-Za-z0-9+/_-]{8,}+(?:\.[A-Za-z0-9+/_-]++)*+",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "card": r"(?<![\w.-])(?:3[47]\d{2}[ -]?\d{6}[ -]?\d{5}|[3-6]\d{3}[ -]?\d{4}[ -]?\d{4}[ -]?\d{1,7})(?![\w-])",
     "phone": r"(?<![\w+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\w(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\w-])\d{3}-\d{3}-\d{4}(?![\w-])",
-    "name": _first + r"(?<![\p{L}\p{N}])(?:" + _address + r")\.? \p{Lu}\p{L}+(?: \p{Lu}\p{L}+){0,2}",
+    "name": _first + r"(?<![\p{L}\p{N}])(?:" + _address + r")\.? " + _word + "(?: " + _word + ")*+",
 }
 #: Texts that none of these finds hold no entity; each is a scan with a cheap first character.
 GATES = ["[0-9@]", r"[=:](?<=(?i:password|passwd|secret|token|api_key|apikey) {0,2}[=:])", _first + "(?:" + _address + r")\.? \p{Lu}"]
@@ -82,12 +84,13 @@ def _number(i: str, of: str = "hex") -> str:
 def _letters(value: str, first: str = "1", of: str = "hex", alphabet: str = "abcdefghijklmnopqrstuvwxyz") -> str:
     """value with letters and digits from place `first` on drawn anew: lower, upper and digits for their like."""
     n = len(alphabet)
-    return f"""aggregate(sequence(1, greatest(length({value}), 1)), '', (a, i) -> concat(a, case
-        when i < {first} then substring({value}, i, 1)
-        when substring({value}, i, 1) rlike '[a-z]' then substring('{alphabet}', {_number("i", of)} % {n} + 1, 1)
-        when substring({value}, i, 1) rlike '[A-Z]' then upper(substring('{alphabet}', {_number("i", of)} % {n} + 1, 1))
-        when substring({value}, i, 1) rlike '[0-9]' then cast({_number("i", of)} % 10 as string)
-        else substring({value}, i, 1) end))"""
+    i = "(i + 1)"
+    return f"""array_join(transform(split({value}, ''), (c, i) -> case
+        when {i} < {first} then c
+        when c rlike '[a-z]' then substring('{alphabet}', {_number(i, of)} % {n} + 1, 1)
+        when c rlike '[A-Z]' then upper(substring('{alphabet}', {_number(i, of)} % {n} + 1, 1))
+        when c rlike '[0-9]' then cast({_number(i, of)} % 10 as string)
+        else c end), '')"""
 
 
 def _digits(count: str, skip: int = 0) -> str:
@@ -182,7 +185,7 @@ def _parts(mention: str) -> str:
     """The mention's parts as an array of (kind, norm, raw, before): name words apart, others whole."""
     gender = f"case when {mention} rlike {_sql('^(?:' + '|'.join(map(_escaped, FEMALE)) + ')[. ]')} then 'f' when {mention} rlike {_sql('^(?:' + '|'.join(map(_escaped, MALE)) + ')[. ]')} then 'm' else 'u' end"
     script = "case when w rlike '\\\\p{IsCyrillic}' then 'cyrillic' when w rlike '\\\\p{IsGreek}' then 'greek' else 'latin' end"
-    words = f"slice(split({mention}, ' '), 2, 3)"
+    words = f"slice(split({mention}, ' '), 2, size(split({mention}, ' ')))"
     named = f"""transform({words}, (w, i) -> named_struct(
         'kind', if(i = size({words}) - 1, concat('surname_', {script}), concat('given_', {script}, '_', {gender})),
         'norm', lower(w), 'raw', w, 'before', if(i = 0, concat(substring_index({mention}, ' ', 1), ' '), ' ')))"""
