@@ -114,3 +114,12 @@ def test_long_secrets_and_names_leave_no_rest(spark):
     assert re.fullmatch(r"password: (?:[a-z]\d){100000}", own[2]) and own[2][10:] != "x9" * 100_000
     assert re.fullmatch(r"Señor \S+ \S+ \S+ \S+, Frau \S+; Mr\. \S+ \S+", own[3])
     assert not re.search("Juan|Carlos|García|Márquez|Müller|Lüdenscheidt|Pat|Brien", own[3])
+
+
+def test_no_name_keeps_itself_or_takes_another_of_the_corpus(spark):
+    norms = [(f"given_{k}", n.lower()) for k, names in pii.GIVEN.items() for n in names.split()]
+    norms += [("given_latin_u", "anna"), ("surname_latin", "paul")]
+    own = pii.surrogates(spark.createDataFrame(norms, "kind string, norm string"), "key").collect()
+    assert len(own) == len(norms) and not {r.surrogate.lower() for r in own} & {n for _, n in norms}
+    one = pii.surrogates(spark.createDataFrame([("given_latin_f", "anna"), ("given_latin_m", "alex")], "kind string, norm string"), "key").collect()
+    assert not {r.surrogate.lower() for r in one} & {"anna", "alex"}

@@ -154,14 +154,19 @@ def _with_surrogates(entities: DataFrame, key: str) -> DataFrame:
 
 
 def surrogates(entities: DataFrame, key: str, max_rounds: int = 25) -> DataFrame:
-    """A table (kind, norm, attempt, surrogate) of the distinct (kind, norm), injective and apart from all norms of the kind.
+    """A table (kind, norm, attempt, surrogate) of the distinct (kind, norm), injective and apart from all norms of the kind (a name: of all names).
 
     Of entities that draw one surrogate the smallest keeps it.
     """
+    name = F.col("kind").rlike("^(?:given|surname)_")
+    group = F.when(name, "name").otherwise(F.col("kind"))
+    as_norm = F.when(name, F.lower("surrogate")).otherwise(F.col("surrogate"))
     now = written(_with_surrogates(entities.withColumn("attempt", F.lit(0)), key), "surrogates")
     for _ in range(max_rounds):
         same = now.groupBy("kind", "surrogate").agg(F.min("norm").alias("keeps"), F.count("*").alias("n")).where("n > 1").drop("n")
-        taken = now.select("kind", F.col("norm").alias("surrogate")).join(now.select("kind", "surrogate").distinct(), ["kind", "surrogate"])
+        # A name's norm is in lower case, and a name is taken whatever its kind.
+        held = now.select(group.alias("group"), F.col("norm").alias("as_norm")).distinct()
+        taken = now.select("kind", "surrogate", group.alias("group"), as_norm.alias("as_norm")).distinct().join(held, ["group", "as_norm"], "left_semi").select("kind", "surrogate")
         clash = written(same.unionByName(taken.withColumn("keeps", F.lit(None).cast("string"))).groupBy("kind", "surrogate").agg(F.expr("if(count_if(keeps is null) > 0, null, min(keeps))").alias("keeps"), F.lit(True).alias("hit")), "clash")
         if clash.isEmpty():
             return now
