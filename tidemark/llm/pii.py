@@ -57,7 +57,7 @@ PATTERNS = {
     "name": _first + r"(?<![\p{L}\p{N}])(?:" + _address + r")\.? " + _word + "(?: " + _word + ")*+",
 }
 #: Texts that none of these finds hold no entity; each is a scan with a cheap first character.
-GATES = ["[0-9@]", r"[=:](?<=(?i:password|passwd|secret|token|api_key|apikey) {0,2}[=:])", _first + "(?:" + _address + r")\.? \p{Lu}"]
+GATES = ["[0-9@]", r"[=:](?<=(?i:password|passwd|secret|token|api_key|apikey) {0,2}[=:])", _first + "(?:" + _address + r")\.? \p{Lu}", "A[KS]IA[A-Z0-9]{16}"]
 
 
 def _may_hold(text: Column) -> Column:
