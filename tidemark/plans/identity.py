@@ -125,9 +125,14 @@ PAIRS = f"""b AS (SELECT item_id, {_compact("split_part(text, chr(10), 1)")} AS
     n AS (SELECT doc_id, {_compact('title')} AS c FROM notes), p AS (SELECT item_id, doc_id, t, c FROM b JOIN n ON n.doc_id % 40 = b.item_id % 40)"""
 
 
-def _pairs(spark, sf):
+def _titles(spark, sf):
     b = table(spark, sf, "benchmark").select("item_id", I.compact_title(F.substring_index("text", "\n", 1)).alias("t"), (F.col("item_id") % 40).alias("g"))
     n = notes(spark, sf).select("doc_id", I.compact_title("title").alias("c"), (F.col("doc_id") % 40).alias("g"))
+    return n, b
+
+
+def _pairs(spark, sf):
+    n, b = _titles(spark, sf)
     return n.join(b, "g")
 
 
@@ -142,6 +147,19 @@ def best_section(spark, sf):
     return dedup.arg_max(own, ["doc_id"], F.col("similarity"), -F.col("item_id"), names=["item_id", "similarity"])
 
 
+# title_similarity and best_section score an item only against the titles of its residue, as their SQL does; these score all pairs.
+@query()
+def title_similarity_all_items(spark, sf):
+    n, b = _titles(spark, sf)
+    return n.drop("g").crossJoin(b.drop("g")).select("item_id", "doc_id", F.round(I.title_similarity("t", "c"), 6).alias("similarity"))
+
+
+@query()
+def best_section_all_items(spark, sf):
+    own = title_similarity_all_items(spark, sf).where("similarity >= 0.35")
+    return dedup.arg_max(own, ["doc_id"], F.col("similarity"), -F.col("item_id"), names=["item_id", "similarity"])
+
+
 @query("SELECT o_orderkey, sha256(concat_ws(chr(1), CAST(o_orderkey AS VARCHAR), o_orderstatus, o_orderpriority)) AS hash FROM orders")
 def canonical_hash(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", I.key_hash("o_orderkey", "o_orderstatus", "o_orderpriority").alias("hash"))
