@@ -36,3 +36,13 @@ def test_titles_meet_all_items(spark):
     best = {d: max(((own[i, d], -i) for i in items)) for d in titles}
     got = {r.doc_id: (r.similarity, -r.item_id) for r in queries()["best_section_all_items"](spark, SF).collect()}
     assert got == {d: b for d, b in best.items() if b[0] >= 0.35}
+
+
+def test_words_are_looked_up_in_all_documents(spark):
+    docs = sorted((r["doc_id"], r["text"].lower()) for r in rows("documents"))
+    wanted = {}
+    for r in rows("benchmark"):
+        word = (r["text"].split(" ") + [""])[1].lower()
+        if found := [f"S{d}" for d, t in docs if word in t][:4]:
+            wanted[r["item_id"]] = ",".join(sorted(found, key=lambda s: int(s[1:])))
+    assert {r.item_id: r.refs for r in queries()["evidence_refs_all_documents"](spark, SF).collect()} == wanted

@@ -213,10 +213,22 @@ def evidence_refs(spark, sf):
     b = table(spark, sf, "benchmark").select("item_id", F.lower(F.split_part("text", F.lit(" "), F.lit(2))).alias("word"), (F.col("item_id") % 40).alias("g"))
     d = table(spark, sf, "documents").select("doc_id", F.lower("text").alias("body"), (F.col("doc_id") % 40).alias("g"))
     own = d.join(F.broadcast(b), "g").where(F.contains("body", F.col("word"))).select("item_id", "doc_id")
+    return _first_refs(own)
+
+
+def _first_refs(own):
     firsts = dedup.top_per_key(own, ["item_id"], 4, F.col("doc_id")).groupBy("item_id").agg(F.array_sort(F.collect_list("doc_id")).alias("d"))
     return firsts.select("item_id", F.array_join(F.transform("d", lambda x: F.concat(F.lit("S"), x.cast("string"))), ",").alias("refs"))
 
 
+# evidence_refs looks a word up only in the documents of its item's residue, as its SQL does; this looks in all.
+@query()
+def evidence_refs_all_documents(spark, sf):
+    b = table(spark, sf, "benchmark").select("item_id", F.lower(F.split_part("text", F.lit(" "), F.lit(2))).alias("word"))
+    d = table(spark, sf, "documents").select("doc_id", F.lower("text").alias("body"))
+    return _first_refs(d.join(b, F.contains("body", F.col("word"))).select("item_id", "doc_id"))
+
+
 @query(f"""WITH {NOTES}, o AS (SELECT lang, doc_id, report_date, substr(report_date, 1, 7) = max(substr(report_date, 1, 7)) OVER (PARTITION BY lang) AS newest FROM notes),
     l AS (SELECT *, row_number() OVER (PARTITION BY lang, newest ORDER BY report_date DESC, doc_id) AS i FROM o),
     b AS (SELECT *, CASE WHEN newest AND i <= 4 THEN 'latest' ELSE 'background' END AS bucket FROM l),
