@@ -46,3 +46,11 @@ def test_words_are_looked_up_in_all_documents(spark):
         if found := [f"S{d}" for d, t in docs if word in t][:4]:
             wanted[r["item_id"]] = ",".join(sorted(found, key=lambda s: int(s[1:])))
     assert {r.item_id: r.refs for r in queries()["evidence_refs_all_documents"](spark, SF).collect()} == wanted
+
+
+def test_tokens_of_all_lines(spark):
+    wanted = Counter()
+    for r in rows("documents"):
+        for w in re.findall("[a-zà-ÿ]{2,}", r["text"].lower()):
+            wanted.update((r["doc_id"], t) for t in ([w] if len(w) <= 4 else [w[i : i + n] for n in (2, 3) for i in range(len(w) - n + 1)]))
+    assert {(r.doc_id, r.token): r.n for r in queries()["ngram_tokens_whole_text"](spark, SF).collect()} == wanted

@@ -112,13 +112,23 @@ def search_snippet(spark, sf):
 @query("""WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(split_part(text, chr(10), 1)), '[a-zà-ÿ]{2,}')) AS t FROM documents)
     SELECT doc_id, t AS token, count(*) AS n FROM (SELECT doc_id, CASE WHEN length(t) <= 4 THEN [t] ELSE list_concat(list_transform(range(1, length(t)), lambda i: substr(t, i, 2)), list_transform(range(1, length(t) - 1), lambda i: substr(t, i, 3))) END AS g FROM w) x, LATERAL (SELECT unnest(g) AS t) GROUP BY doc_id, t""")
 def ngram_tokens(spark, sf):
-    words = F.regexp_extract_all(F.lower(F.substring_index("text", "\n", 1)), F.lit("[a-zà-ÿ]{2,}"), F.lit(0))
+    return _tokens(table(spark, sf, "documents"), F.substring_index("text", "\n", 1))
+
+
+def _tokens(docs, text):
+    words = F.regexp_extract_all(F.lower(text), F.lit("[a-zà-ÿ]{2,}"), F.lit(0))
 
     def grams(w, n):
         return F.transform(F.sequence(F.lit(1), F.length(w) - (n - 1)), lambda i: F.substring(w, i, F.lit(n)))
 
     tokens = F.flatten(F.transform(words, lambda w: F.when(F.length(w) <= 4, F.array(w)).otherwise(F.concat(grams(w, 2), grams(w, 3)))))
-    return table(spark, sf, "documents").select("doc_id", F.explode(tokens).alias("token")).groupBy("doc_id", "token").agg(F.count("*").alias("n"))
+    return docs.select("doc_id", F.explode(tokens).alias("token")).groupBy("doc_id", "token").agg(F.count("*").alias("n"))
+
+
+# ngram_tokens takes the first line only, as its SQL does; this takes all lines.
+@query()
+def ngram_tokens_whole_text(spark, sf):
+    return _tokens(table(spark, sf, "documents"), F.col("text"))
 
 
 @query()
