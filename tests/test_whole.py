@@ -54,3 +54,15 @@ def test_tokens_of_all_lines(spark):
         for w in re.findall("[a-zà-ÿ]{2,}", r["text"].lower()):
             wanted.update((r["doc_id"], t) for t in ([w] if len(w) <= 4 else [w[i : i + n] for n in (2, 3) for i in range(len(w) - n + 1)]))
     assert {(r.doc_id, r.token): r.n for r in queries()["ngram_tokens_whole_text"](spark, SF).collect()} == wanted
+
+
+def test_anchors_are_filtered_first_and_met_in_the_whole_body(spark):
+    def letters(s):
+        return re.sub("[^a-z]", "", s.lower())
+
+    wanted = set()
+    for r in rows("documents"):
+        a = [x for x in map(letters, r["text"].split(".")) if len(x) >= 12][:8]
+        hits = sum(x in letters(r["text"]) for x in a)
+        wanted.add((r["doc_id"], len(a), hits, bool(a) and hits >= (1 if len(a) <= 2 else 2)))
+    assert {tuple(r) for r in queries()["anchor_verify_whole_body"](spark, SF).collect()} == wanted

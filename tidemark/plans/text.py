@@ -233,15 +233,27 @@ ANCHORS = "list_filter(list_transform(str_split(text, '.')[1:8], lambda x: regex
 
 @query(f"WITH a AS (SELECT doc_id, {ANCHORS} AS anchors, regexp_replace(lower(text), '[^a-z]', '', 'g') AS body FROM documents), b AS (SELECT doc_id, len(anchors) AS anchors, len(list_filter(anchors, lambda x: contains(substr(body, 1, 400), x))) AS hits FROM a) SELECT doc_id, anchors, hits, anchors > 0 AND hits >= CASE WHEN anchors <= 2 THEN 1 ELSE 2 END AS verified FROM b")
 def anchor_verify(spark, sf):
-    def compact(c):
-        return F.regexp_replace(F.lower(c), "[^a-z]", "")
+    anchors = F.filter(F.transform(F.slice(F.split("text", r"\."), 1, 8), _compact), lambda x: F.length(x) >= 12)
+    rows = table(spark, sf, "documents").select("doc_id", anchors.alias("a"), F.substring(_compact(F.col("text")), 1, 400).alias("body"))
+    return _verified(rows)
 
-    anchors = F.filter(F.transform(F.slice(F.split("text", r"\."), 1, 8), compact), lambda x: F.length(x) >= 12)
-    rows = table(spark, sf, "documents").select("doc_id", anchors.alias("a"), F.substring(compact(F.col("text")), 1, 400).alias("body"))
+
+def _compact(c):
+    return F.regexp_replace(F.lower(c), "[^a-z]", "")
+
+
+def _verified(rows):
     rows = rows.select("doc_id", F.size("a").alias("anchors"), F.size(F.filter("a", lambda x: F.contains(F.col("body"), x))).alias("hits"))
     return rows.withColumn("verified", F.expr("anchors > 0 and hits >= if(anchors <= 2, 1, 2)"))
 
 
+# anchor_verify cuts to eight sentences before the length filter and to 400 letters of the body, as its SQL does; this doesn't.
+@query()
+def anchor_verify_whole_body(spark, sf):
+    anchors = F.slice(F.filter(F.transform(F.split("text", r"\."), _compact), lambda x: F.length(x) >= 12), 1, 8)
+    return _verified(table(spark, sf, "documents").select("doc_id", anchors.alias("a"), _compact(F.col("text")).alias("body")))
+
+
 @query("SELECT doc_id, right(regexp_replace(regexp_replace(text, '(?i)(password|token)(\\s*=\\s*)\\S+', '\\1\\2***', 'g'), 'AKIA[A-Z0-9]{16}', 'AKIA***', 'g'), 1200) AS redacted FROM documents")
 def redact_text(spark, sf):
     c = F.regexp_replace("text", r"(?i)(password|token)(\s*=\s*)\S+", "$1$2***")
