@@ -4,7 +4,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.functions import arrow
+from tidemark.functions import keywords
 from tidemark.operators import dedup, merge, metadata, reconcile, search
 from tidemark.sources import files
 
@@ -114,7 +114,7 @@ def test_snippet_and_highlight(spark):
     df = spark.createDataFrame([("x" * 100 + " needle " + "y" * 100,)], "t string")
     s = df.select(search.snippet(["t"], ["needle"], 30).alias("s")).first().s
     assert "needle" in s and len(s) <= 30
-    assert df.select(arrow.highlight(["needle"])("t").alias("h")).first().h.count("[needle]") == 1
+    assert df.select(keywords.highlight("t", ["needle"]).alias("h")).first().h.count("[needle]") == 1
 
 
 def test_files_and_notes(spark, tmp_path):

@@ -1,5 +1,7 @@
 """Literal cases of the text functions that the test tables don't hold."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from tidemark.functions import arrow, dates, identity as I, keywords as K, text as T
@@ -100,18 +102,12 @@ def test_identity(spark):
 
 
 def test_arrow_functions():
-    assert arrow.wrap_line("aaaa bbbb cccc", 10) == ["aaaa bbbb", "cccc"]
-    assert arrow.wrap_line("a" * 25, 10) == ["a" * 10, "a" * 10, "a" * 5]
-    assert arrow.wrap_line("", 10) == [""]
     assert arrow.last_json('x {"a": 1} y {"b": {"c": 2}} {broken') == '{"b":{"c":2}}'
     assert arrow.last_json("nothing") is None
     assert arrow.merge_chunks(["a\nb\nc", "B\nc\nd", ""]) == "a\nb\nc\n\nd"
     assert arrow.merge_chunks(["Section 05", "Section 10"]) == "Section 05\n\nSection 10"
     assert arrow.folded_key("Ｒeport①.PDF") == "report1"
     assert arrow.folded_key("--.pdf") == "--"
-    assert arrow.highlighted("Ab ab AB abc", ["ab"]) == "[Ab] [ab] AB abc"
-    assert arrow.number_snippets("grew 12.5% to $3.2B")[0].startswith("grew 12.5%")
-    assert arrow.companies_in("Acme Corp: strong quarter") == ["Acme Corp"]
     assert arrow.values_of({"a": [{"id": 1}, {"b": {"id": "x"}}], "id": None}, "id") == ["1", "x", "None"]
 
 
@@ -130,3 +126,51 @@ def test_hashed_counts_give_the_signed_cosine():
 
     a, b = "alpha beta gamma alpha", "beta gamma delta"
     assert abs(cosine(signed(a), signed(b)) - cosine(arrow.embedding(a), arrow.embedding(b))) < 1e-12
+
+
+def one(spark, text, f):
+    return spark.createDataFrame([(text,)], "t string").select(f("t").alias("x")).first().x
+
+
+def wrap_slowly(line, width):
+    out = []
+    while len(line) > width:
+        cut = line.rfind(" ", 0, width + 1)
+        cut = cut if cut >= width // 2 else width
+        out.append(line[:cut].rstrip())
+        line = line[cut:].lstrip()
+    return [x for x in [*out, line] if x]
+
+
+def test_lines_are_wrapped_at_the_last_space_past_the_middle(spark):
+    assert one(spark, "aaaa bbbb cccc", lambda t: T.hard_wrap(t, 10)) == ["aaaa bbbb", "cccc"]
+    assert one(spark, "a" * 25, lambda t: T.hard_wrap(t, 10)) == ["a" * 10, "a" * 10, "a" * 5]
+    assert one(spark, "", lambda t: T.hard_wrap(t, 10)) == [""]
+    r = random.Random(4)
+    for _ in range(30):
+        line = " ".join("".join(r.choice("ab文\U0001f600") for _ in range(r.choice([1, 3, 9, 40]))) for _ in range(60))
+        assert one(spark, line, lambda t: T.hard_wrap(t, 30)) == wrap_slowly(line, 30)
+    words = " ".join(f"Section {i:03d} explains revenue growth margin pressure" for i in range(120))
+    for long in (words, "半导体需求恢复库存压力价格变化资本开支下游订单改善" * 180):
+        own = one(spark, long, lambda t: T.clean(t, [])).split("\n")
+        assert len(own) > 1 and max(map(len, own)) <= 1200
+        assert own == wrap_slowly(long, 1200)
+
+
+def test_dates_with_every_separator(spark):
+    for text, wanted in {
+        "2024年05月06日": "2024-05-06", "x 2024-05-06": "2024-05-06", "2024/05/06": "2024-05-06", "2024.05.06": "2024-05-06", "20240506": "2024-05-06", "240506": "2024-05-06",
+        "20240230 then 240506": "2024-05-06", "12024-05-06": None, "2024-13-06": None, "nothing": None, "": None, "1999-05-06": None,
+    }.items():
+        assert one(spark, text, lambda t: dates.date_in(t, 2027)) == wanted, text
+
+
+def test_figures_companies_and_highlights(spark):
+    assert one(spark, "grew 12.5% to $3.2B", K.key_numbers) == ["grew 12.5% to $3.2B"]
+    far = "a" * 30 + " 5%" + " b" * 30 + "7 GWh"
+    assert one(spark, far, K.key_numbers) == ["a" * 23 + " 5%" + " b" * 12, "b " * 11 + "b7 GWh"]
+    assert one(spark, "5美元/桶", K.key_numbers) == ["5美元/桶"] and one(spark, "5 apples", K.key_numbers) == []
+    assert one(spark, "Acme Corp: strong quarter", K.companies_in) == ["Acme Corp"]
+    assert one(spark, "Ab ab AB abc", lambda t: K.highlight(t, ["ab"])) == "[Ab] [ab] AB abc"
+    assert one(spark, "a $1 (b) $1", lambda t: K.highlight(t, ["(b)", "$1"], 1)) == "a [$1] [(b)] $1"
+    assert one(spark, "no\nmatch", lambda t: K.highlight(t, ["x", ""])) == "no\nmatch"

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import col
+from .arrow import composed
+from .text import col, squeeze
 
 SEPARATOR = "\u0001"
 
@@ -48,6 +49,12 @@ def file_key(name: Column | str) -> Column:
     return F.when(key == "", F.trim(stem)).otherwise(key)
 
 
+def path_key(path: Column | str) -> Column:
+    """A path to compare by: composed letters, one kind of slash, single spaces and slashes."""
+    key = F.replace(squeeze(composed()(col(path).cast("string"))), F.lit("\\"), F.lit("/"))
+    return F.regexp_replace(key, "/{2,}", "/")
+
+
 def compact_title(c: Column | str) -> Column:
     """Lower case, no extension, no punctuation."""
     c = F.regexp_replace(F.lower(F.trim(col(c))), r"\.(pdf|md)$", "")
@@ -63,13 +70,24 @@ def grams(c: Column | str, n: int) -> Column:
     return F.array_distinct(F.regexp_extract_all(col(c), F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)))
 
 
-def title_similarity(target: Column | str, candidate: Column | str) -> Column:
-    """Of compact titles: 1 if either holds the other, else 0.35 of the target's characters and 0.65 of its 3-grams that the candidate has."""
-    t, c = col(target), col(candidate)
-    chars = F.size(F.array_intersect(grams(t, 1), grams(c, 1))) / F.greatest(F.size(grams(t, 1)), F.lit(1))
-    threes = F.size(F.array_intersect(grams(t, 3), grams(c, 3))) / F.greatest(F.size(grams(t, 3)), F.lit(1))
+def similarity_of_grams(t: Column, t1: Column, t3: Column, c: Column, c1: Column, c3: Column) -> Column:
+    """Of compact titles: 1 if either holds the other, else 0.35 of the target's characters and 0.65 of its 3-grams that the candidate has.
+
+    t1, t3, c1, c3 are the titles' grams(_, 1) and grams(_, 3), made once a title and not once a pair.
+    """
+
+    def part(own: Column, other: Column) -> Column:
+        return F.size(F.array_intersect(own, other)) / F.greatest(F.size(own), F.lit(1))
+
+    # The weights of characters and of 3-grams.
     return (
         F.when((t == "") | (c == ""), 0.0)
         .when(F.contains(c, t) | F.contains(t, c), 1.0)
-        .otherwise(chars * 0.35 + threes * 0.65)
+        .otherwise(part(t1, c1) * 0.35 + part(t3, c3) * 0.65)
     )
+
+
+def title_similarity(target: Column | str, candidate: Column | str) -> Column:
+    """similarity_of_grams of two columns."""
+    t, c = col(target), col(candidate)
+    return similarity_of_grams(t, grams(t, 1), grams(t, 3), c, grams(c, 1), grams(c, 3))

@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import col
+from .text import col, search_text
 
 _SPECIAL = re.compile(r"([\\.^$|?*+()\[\]{}\-])")
 
@@ -69,10 +69,60 @@ def first_index(text: Column | str, words: list[str]) -> Column:
     return F.array_min(F.filter(places, lambda i: i > 0))
 
 
+def highlight(text: Column | str, terms: list[str], most: int = 2) -> Column:
+    """Terms in brackets, the longest first, each at its first places up to `most`; terms with letters whatever the case."""
+    text = col(text)
+    for term in sorted(filter(None, terms), key=len, reverse=True):
+        found = ("(?i)" if re.search("[A-Za-z]", term) else "") + escaped(term)
+        places = F.regexp_count(text, F.lit(found))
+        marked = text
+        for n in range(1, most + 1):
+            # The first n places, with what stands before each.
+            before = "".join(f"${2 * i + 1}[${2 * i + 2}]" for i in range(n))
+            marked = F.when(places >= n, F.regexp_replace(text, "^(?s)" + rf"(.*?)({found})" * n, before)).otherwise(marked)
+        text = marked
+    return text
+
+
+# Units that make a number a key figure, in the order in which they are tried.
+UNITS = "%|亿美元|亿元|万亿|GWh|GW|MW|美元|人民币|倍|bps|bp|页|个|家|万吨|美元/桶"
+NUMBER = rf"\d+(?:\.\d+)?\s?(?:{UNITS})|\$\s?\d+(?:\.\d+)?\s?[BMK]?"
+
+
+def key_numbers(text: Column | str, most: int = 12, around: int = 24) -> Column:
+    """The first distinct snippets around figures with a unit or a currency sign, cleaned of markup."""
+    text = col(text)
+    place = rf"(?s)(?=[$0-9])(?<=(^.{{0,{around}}}|.{{{around}}}))({NUMBER})(?=(.{{0,{around}}}))"
+    before, number, after = (F.regexp_extract_all(text, F.lit(place), F.lit(i)) for i in (1, 2, 3))
+    whole = F.zip_with(F.zip_with(before, number, lambda a, b: F.concat(a, b)), after, lambda a, b: F.concat(a, b))
+    return F.slice(F.array_distinct(F.filter(F.transform(whole, search_text), lambda x: x != "")), 1, most)
+
+
+# Forms in which titles name a company: before a colon, before a ticker in brackets, before a signal word.
+COMPANY = [
+    "^([^:：]{2,40})[:：]",
+    r"([A-Z][\w&.-]+(?: [A-Z][\w&.-]+){0,3})\s*[(（][A-Z0-9]{1,6}(?:\.[A-Z]{1,3})?[)）]",
+    r"^([A-Z][\w&.-]+(?: [A-Z][\w&.-]+){0,2})\s+(?:initiates|upgrade|downgrade|earnings|results|outlook)",
+]
+#: Words that open a title and belong to no name.
+OPENING = r"^(?i)(?:the|a|an|on|re|update|note)\s+"
+
+
+def companies_in(title: Column | str) -> Column:
+    """Names of companies that a title gives away, in the order of the forms, each once."""
+    names = F.concat(*(F.regexp_extract_all(col(title), F.lit(p), F.lit(1)) for p in COMPANY))
+    names = F.transform(names, lambda x: F.btrim(F.regexp_replace(x, OPENING, ""), F.lit(" .-")))
+    return F.array_distinct(F.filter(names, lambda x: F.length(x).between(2, 40)))
+
+
+# Fixed value: what a query's tokens are.
+TOKEN = r"[A-Za-z][A-Za-z0-9.+-]*|\d+(?:\.\d+)?|[一-鿿]{2,}"
+
+
 def query_tokens(query: str, grams: tuple[int, ...] = (3,), whole: bool = True, stop: tuple[str, ...] = (), least: int = 2) -> list[str]:
     """Words, numbers and runs of Han characters of a query; long runs give n-grams too (or instead)."""
     out: list[str] = []
-    for token in re.findall(r"[A-Za-z][A-Za-z0-9.+-]*|\d+(?:\.\d+)?|[一-鿿]{2,}", query):
+    for token in re.findall(TOKEN, query):
         long_run = re.fullmatch(r"[一-鿿]{5,}", token)
         if whole or not long_run:
             out.append(token)

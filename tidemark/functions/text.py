@@ -258,17 +258,28 @@ def within_budget(text: Column | str, chars: int) -> Column:
     return F.aggregate(lines(text), start, step, lambda a: F.array_join(a["kept"], "\n"))
 
 
+def wrapped(line: Column, width: int = MAX_LINE) -> Column:
+    """The line's parts of at most width characters, cut at the last space past the middle if there is one, else at the width.
+
+    One regular expression: what is left if it fits, else as much as ends before
+    a space, else the width; white space at a cut goes.
+    """
+    white = "[" + WHITE.replace("\t\n\x0b\x0c\r", r"\t-\r") + "]"
+    part = rf"(?s)(.{{1,{width}}}\z|.{{{width // 2},{width}}}(?= )|.{{{width}}}){white}*+"
+    cut = F.filter(F.transform(F.regexp_extract_all(line, F.lit(part), F.lit(1)), lambda x: F.rtrim(x, F.lit(WHITE))), lambda x: x != "")
+    return F.when(F.length(line) <= width, F.array(line)).otherwise(cut)
+
+
+def hard_wrap(text: Column | str, width: int = MAX_LINE) -> Column:
+    """The text's lines, none longer than the width."""
+    return F.flatten(F.transform(F.split(col(text), "\n"), lambda x: wrapped(x, width)))
+
+
 def clean(text: Column | str, marks: list[str], width: int = MAX_LINE) -> Column:
-    """Normalised breaks, noise lines out, blank lines single, marks off, long lines cut at the width."""
+    """Normalised breaks, noise lines out, blank lines single, marks off, long lines wrapped."""
     rows = F.split(F.regexp_replace(col(text), "\r\n?", "\n"), "\n")
     rows = F.filter(rows, lambda x: ~is_noise(x, marks))
-
-    def wrapped(x: Column) -> Column:
-        x = without_marks(x, marks)
-        cut = F.transform(F.sequence(F.lit(0), F.floor((F.greatest(F.length(x), F.lit(1)) - 1) / width).cast("int")), lambda i: F.substring(x, i * width + 1, F.lit(width)))
-        return F.when(F.length(x) <= width, F.array(x)).otherwise(cut)
-
-    out = F.array_join(F.flatten(F.transform(rows, wrapped)), "\n")
+    out = F.array_join(F.flatten(F.transform(F.transform(rows, lambda x: without_marks(x, marks)), lambda x: wrapped(x, width))), "\n")
     return strip(F.regexp_replace(out, "\n{3,}", "\n\n"))
 
 

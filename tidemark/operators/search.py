@@ -9,6 +9,17 @@ from ..functions.keywords import contains, escaped, first_index, mentions
 from ..functions.text import col
 
 
+def in_blocks(queries: DataFrame, key: str, size: int) -> DataFrame:
+    """A table (block: array of at most about `size` structs): the rows of a set of queries, dealt out by a hash of the key.
+
+    Joined to a table without a condition, each of its rows meets a block and not
+    a query, so the rows of the product grow with queries / size only.
+    """
+    blocks = max(1, -(-queries.count() // size))
+    at = F.pmod(F.xxhash64(key), F.lit(blocks))
+    return queries.groupBy(at.alias("__at")).agg(F.collect_list(F.struct(*queries.columns)).alias("block")).select("block")
+
+
 def document_length(columns: list[str]) -> Column:
     """Trigrams of all indexed columns."""
     total = F.lit(0)

@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import keywords as K, text as T
-from ..operators import dedup
+from ..operators import dedup, search
 from .base import NOTES, inline, notes, query, sql_mentions, table
 from .metadata import ENTITIES, SUBTHEMES, THEMES, entities, hits, scored_sql
 
@@ -207,28 +207,18 @@ def line_bucket_case(spark, sf):
     return lines.groupBy(T.ordered_case(F.col("line"), BUCKETS, "consensus").alias("bucket")).agg(F.count("*").alias("lines"))
 
 
-@query("""WITH m AS (SELECT item_id, doc_id FROM benchmark b JOIN documents d ON d.doc_id % 40 = b.item_id % 40 WHERE contains(lower(d.text), lower(split_part(b.text, ' ', 2)))),
+@query("""WITH m AS (SELECT item_id, doc_id FROM benchmark b JOIN documents d ON contains(lower(d.text), lower(split_part(b.text, ' ', 2)))),
     r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY doc_id) AS k FROM m) SELECT item_id, string_agg('S' || CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS refs FROM r WHERE k <= 4 GROUP BY item_id""")
 def evidence_refs(spark, sf):
-    b = table(spark, sf, "benchmark").select("item_id", F.lower(F.split_part("text", F.lit(" "), F.lit(2))).alias("word"), (F.col("item_id") % 40).alias("g"))
-    d = table(spark, sf, "documents").select("doc_id", F.lower("text").alias("body"), (F.col("doc_id") % 40).alias("g"))
-    own = d.join(F.broadcast(b), "g").where(F.contains("body", F.col("word"))).select("item_id", "doc_id")
-    return _first_refs(own)
-
-
-def _first_refs(own):
-    firsts = dedup.top_per_key(own, ["item_id"], 4, F.col("doc_id")).groupBy("item_id").agg(F.array_sort(F.collect_list("doc_id")).alias("d"))
+    """Each item's word is looked up in all documents; the items, a stated set of queries, meet them in blocks."""
+    words = table(spark, sf, "benchmark").select("item_id", F.lower(F.split_part("text", F.lit(" "), F.lit(2))).alias("word"))
+    docs = table(spark, sf, "documents").select("doc_id", F.lower("text").alias("body"))
+    held = F.filter("block", lambda x: F.contains(F.col("body"), x["word"]))
+    found = docs.crossJoin(search.in_blocks(words, "item_id", 64)).select("doc_id", F.explode(F.transform(held, lambda x: x["item_id"])).alias("item_id"))
+    firsts = dedup.top_per_key(found, ["item_id"], 4, F.col("doc_id")).groupBy("item_id").agg(F.array_sort(F.collect_list("doc_id")).alias("d"))
     return firsts.select("item_id", F.array_join(F.transform("d", lambda x: F.concat(F.lit("S"), x.cast("string"))), ",").alias("refs"))
 
 
-# evidence_refs looks a word up only in the documents of its item's residue, as its SQL does; this looks in all.
-@query()
-def evidence_refs_all_documents(spark, sf):
-    b = table(spark, sf, "benchmark").select("item_id", F.lower(F.split_part("text", F.lit(" "), F.lit(2))).alias("word"))
-    d = table(spark, sf, "documents").select("doc_id", F.lower("text").alias("body"))
-    return _first_refs(d.join(b, F.contains("body", F.col("word"))).select("item_id", "doc_id"))
-
-
 @query(f"""WITH {NOTES}, o AS (SELECT lang, doc_id, report_date, substr(report_date, 1, 7) = max(substr(report_date, 1, 7)) OVER (PARTITION BY lang) AS newest FROM notes),
     l AS (SELECT *, row_number() OVER (PARTITION BY lang, newest ORDER BY report_date DESC, doc_id) AS i FROM o),
     b AS (SELECT *, CASE WHEN newest AND i <= 4 THEN 'latest' ELSE 'background' END AS bucket FROM l),

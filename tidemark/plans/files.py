@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..functions import arrow
 from ..sources import files
 from .base import inline, query, table
 
@@ -75,3 +76,15 @@ def last_reason_line(spark, sf):
     own = table(spark, sf, "events").select("user_id", "ts", "event_id", F.regexp_extract(line, "reason=([a-z_]+)", 1).alias("reason"))
     allowed = own.join(inline(spark, "reason", ALLOWED), "reason", "left_semi")
     return allowed.groupBy("user_id").agg(F.max_by("reason", F.struct("ts", "event_id")).alias("reason"))
+
+
+@query("SELECT event_id, replace(props, ' ', '') AS payload FROM events")
+def last_json_object(spark, sf):
+    text = F.concat(F.lit('log {"old": 1} then '), "props", F.lit(" and {broken"))
+    return table(spark, sf, "events").select("event_id", arrow.last_json_object()(text).alias("payload"))
+
+
+@query("SELECT event_id, unnest([json_extract_string(props, '$.k'), 'x']) AS value FROM events")
+def json_values_at_depth(spark, sf):
+    text = F.concat(F.lit('{"a": [1, '), "props", F.lit(', {"b": {"k": "x"}}]}'))
+    return table(spark, sf, "events").select("event_id", F.explode(arrow.json_values("k")(text)).alias("value"))

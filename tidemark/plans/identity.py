@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import arrow, dates, identity as I
-from ..operators import dedup
+from ..operators import dedup, search
 from .base import NOTES, inline, notes, query, table, values
 
 
@@ -98,7 +98,7 @@ def filename_key(spark, sf):
 
 @query("SELECT page_id, regexp_replace(trim(regexp_replace(url, '\\s+', ' ', 'g')), '/{2,}', '/', 'g') AS key, regexp_replace(lower(regexp_replace(url, '\\.[A-Za-z0-9]{1,5}$', '')), '[^\\pL\\pN]', '', 'g') AS folded FROM pages")
 def path_key(spark, sf):
-    return table(spark, sf, "pages").select("page_id", arrow.path_key()("url").alias("key"), arrow.filename_key()("url").alias("folded"))
+    return table(spark, sf, "pages").select("page_id", I.path_key("url").alias("key"), arrow.filename_key()("url").alias("folded"))
 
 
 @query(f"WITH {NOTES} SELECT doc_id, regexp_replace(regexp_replace(lower(trim(title)), '\\.(pdf|md)$', ''), '[^\\pL\\pN_]+', '', 'g') AS compact FROM notes")
@@ -110,56 +110,34 @@ def _grams(x, n):
     return f"list_distinct(list_transform(range(1, length({x}) - {n - 2}), lambda i: substr({x}, i, {n})))"
 
 
-def _similar(t, c):
-    def part(n):
-        return f"len(list_intersect({_grams(t, n)}, {_grams(c, n)})) / greatest(len({_grams(t, n)}), 1)"
-
-    return f"CASE WHEN {t} = '' OR {c} = '' THEN 0.0 WHEN contains({c}, {t}) OR contains({t}, {c}) THEN 1.0 ELSE {part(1)} * 0.35 + {part(3)} * 0.65 END"
-
-
 def _compact(x):
     return f"regexp_replace(regexp_replace(lower(trim({x})), '\\.(pdf|md)$', ''), '[^\\pL\\pN_]+', '', 'g')"
 
 
 PAIRS = f"""b AS (SELECT item_id, {_compact("split_part(text, chr(10), 1)")} AS t FROM benchmark),
-    n AS (SELECT doc_id, {_compact('title')} AS c FROM notes), p AS (SELECT item_id, doc_id, t, c FROM b JOIN n ON n.doc_id % 40 = b.item_id % 40)"""
-
-
-def _titles(spark, sf):
-    b = table(spark, sf, "benchmark").select("item_id", I.compact_title(F.substring_index("text", "\n", 1)).alias("t"), (F.col("item_id") % 40).alias("g"))
-    n = notes(spark, sf).select("doc_id", I.compact_title("title").alias("c"), (F.col("doc_id") % 40).alias("g"))
-    return n, b
-
-
-def _pairs(spark, sf):
-    n, b = _titles(spark, sf)
-    return n.join(b, "g")
+    b2 AS (SELECT item_id, t, {_grams('t', 1)} AS t1, {_grams('t', 3)} AS t3 FROM b),
+    n AS (SELECT doc_id, {_compact('title')} AS c FROM notes), n2 AS (SELECT doc_id, c, {_grams('c', 1)} AS c1, {_grams('c', 3)} AS c3 FROM n),
+    s AS (SELECT item_id, doc_id, round(CASE WHEN t = '' OR c = '' THEN 0.0 WHEN contains(c, t) OR contains(t, c) THEN 1.0
+        ELSE len(list_intersect(t1, c1)) / greatest(len(t1), 1) * 0.35 + len(list_intersect(t3, c3)) / greatest(len(t3), 1) * 0.65 END, 6) AS similarity FROM b2, n2)"""
 
 
-@query(f"WITH {NOTES}, {PAIRS} SELECT item_id, doc_id, round({_similar('t', 'c')}, 6) AS similarity FROM p")
+@query(f"WITH {NOTES}, {PAIRS} SELECT item_id, doc_id, similarity FROM s")
 def title_similarity(spark, sf):
-    return _pairs(spark, sf).select("item_id", "doc_id", F.round(I.title_similarity("t", "c"), 6).alias("similarity"))
+    """Every title against every benchmark item; the items, a stated set of queries, meet the titles in blocks."""
+    items = table(spark, sf, "benchmark").select("item_id", I.compact_title(F.substring_index("text", "\n", 1)).alias("t"))
+    items = search.in_blocks(items.select("item_id", "t", I.grams("t", 1).alias("t1"), I.grams("t", 3).alias("t3")), "item_id", 64)
+    titles = notes(spark, sf).select("doc_id", I.compact_title("title").alias("c"))
+    titles = titles.select("doc_id", "c", I.grams("c", 1).alias("c1"), I.grams("c", 3).alias("c3"))
+    each = F.transform("block", lambda x: F.struct(x["item_id"].alias("item_id"), F.round(I.similarity_of_grams(x["t"], x["t1"], x["t3"], F.col("c"), F.col("c1"), F.col("c3")), 6).alias("similarity")))
+    return titles.crossJoin(items).select("doc_id", F.inline(each)).select("item_id", "doc_id", "similarity")
 
 
-@query(f"WITH {NOTES}, {PAIRS}, s AS (SELECT item_id, doc_id, round({_similar('t', 'c')}, 6) AS s FROM p), r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY s DESC, item_id) AS k FROM s WHERE s >= 0.35) SELECT doc_id, item_id, s AS similarity FROM r WHERE k = 1")
+@query(f"WITH {NOTES}, {PAIRS}, r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY similarity DESC, item_id) AS k FROM s WHERE similarity >= 0.35) SELECT doc_id, item_id, similarity FROM r WHERE k = 1")
 def best_section(spark, sf):
     own = title_similarity(spark, sf).where("similarity >= 0.35")
     return dedup.arg_max(own, ["doc_id"], F.col("similarity"), -F.col("item_id"), names=["item_id", "similarity"])
 
 
-# title_similarity and best_section score an item only against the titles of its residue, as their SQL does; these score all pairs.
-@query()
-def title_similarity_all_items(spark, sf):
-    n, b = _titles(spark, sf)
-    return n.drop("g").crossJoin(b.drop("g")).select("item_id", "doc_id", F.round(I.title_similarity("t", "c"), 6).alias("similarity"))
-
-
-@query()
-def best_section_all_items(spark, sf):
-    own = title_similarity_all_items(spark, sf).where("similarity >= 0.35")
-    return dedup.arg_max(own, ["doc_id"], F.col("similarity"), -F.col("item_id"), names=["item_id", "similarity"])
-
-
 @query("SELECT o_orderkey, sha256(concat_ws(chr(1), CAST(o_orderkey AS VARCHAR), o_orderstatus, o_orderpriority)) AS hash FROM orders")
 def canonical_hash(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", I.key_hash("o_orderkey", "o_orderstatus", "o_orderpriority").alias("hash"))

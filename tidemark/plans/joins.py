@@ -61,9 +61,9 @@ def status_stage_case(spark, sf):
     return table(spark, sf, "orders").groupBy(stage.alias("stage")).agg(F.count("*").alias("orders"))
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey, 'part ' || CAST(l_partkey AS VARCHAR) AS filename, coalesce(p_name, 'unknown') AS title FROM lineitem LEFT JOIN part ON p_partkey = l_partkey WHERE l_orderkey < 2000")
+@query("SELECT l_orderkey, l_linenumber, l_partkey, 'part ' || CAST(l_partkey AS VARCHAR) AS filename, coalesce(p_name, 'unknown') AS title FROM lineitem LEFT JOIN part ON p_partkey = l_partkey")
 def batch_to_report_rows(spark, sf):
-    lines = table(spark, sf, "lineitem").where("l_orderkey < 2000")
+    lines = table(spark, sf, "lineitem")
     batches = lines.groupBy("l_orderkey").agg(F.collect_list(F.struct("l_linenumber", "l_partkey")).alias("files"))
     items = batches.select("l_orderkey", F.explode("files").alias("f")).select("l_orderkey", "f.*")
     named = items.join(table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey", "left")
@@ -302,14 +302,14 @@ def incremental_link_anti(spark, sf):
     return edges.where("l_returnflag = 'N'").select("page", "target").distinct().join(edges.where("l_returnflag = 'R'").select("page", "target"), ["page", "target"], "left_anti")
 
 
-@query("""WITH u AS (SELECT user_id, 'retry ' || event_type AS name FROM events WHERE event_type = 'error' UNION SELECT user_id, 'quarantine' FROM events WHERE value > 80 UNION SELECT o_custkey, 'batch ' || o_orderstatus FROM orders WHERE o_custkey < 200),
+@query("""WITH u AS (SELECT user_id, 'retry ' || event_type AS name FROM events WHERE event_type = 'error' UNION SELECT user_id, 'quarantine' FROM events WHERE value > 80 UNION SELECT o_custkey, 'batch ' || o_orderstatus FROM orders),
     r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY name) AS i, count(*) OVER (PARTITION BY user_id) AS n FROM u)
     SELECT user_id, string_agg(name, ', ' ORDER BY name) AS shown, max(n) - 3 AS more FROM r WHERE i <= 3 GROUP BY user_id""")
 def abnormal_files_union(spark, sf):
     e = table(spark, sf, "events")
     a = e.where("event_type = 'error'").select("user_id", F.concat(F.lit("retry "), "event_type").alias("name"))
     b = e.where("value > 80").select("user_id", F.lit("quarantine").alias("name"))
-    c = table(spark, sf, "orders").where("o_custkey < 200").select(F.col("o_custkey").alias("user_id"), F.concat(F.lit("batch "), "o_orderstatus").alias("name"))
+    c = table(spark, sf, "orders").select(F.col("o_custkey").alias("user_id"), F.concat(F.lit("batch "), "o_orderstatus").alias("name"))
     names = a.unionByName(b).unionByName(c).groupBy("user_id").agg(F.array_sort(F.collect_set("name")).alias("names"))
     return names.select("user_id", F.array_join(F.slice("names", 1, 3), ", ").alias("shown"), (F.size("names").cast("bigint") - 3).alias("more"))
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import arrow, dates, keywords as K, text as T
+from ..functions import dates, keywords as K, text as T
 from ..functions.identity import blank
 from ..operators import dedup, metadata as M
 from ..sources import files
@@ -197,10 +197,18 @@ def first_rule_wins(spark, sf):
     return notes(spark, sf).select("doc_id", out.otherwise("").alias("broker"))
 
 
-@query()
+FIGURES = "title || ' rose ' || CAST(n_chars % 90 AS VARCHAR) || '% to $' || CAST(doc_id % 50 AS VARCHAR) || 'B at 3.5倍 of **' || CAST(doc_id % 7 AS VARCHAR) || ' GWh** at last'"
+_PLAIN = "trim(regexp_replace(regexp_replace({}, '[#*`>]+', ' ', 'g'), '\\s+', ' ', 'g'))"
+
+
+# A figure's place is the length of all before it: figures are marked, and the text is split at the marks.
+@query(f"""WITH {NOTES}, t AS (SELECT doc_id, {FIGURES} AS t FROM notes), m AS (SELECT doc_id, t, str_split(regexp_replace(t, '({K.NUMBER})', chr(1) || '\\1' || chr(2), 'g'), chr(1)) AS p FROM t),
+    e AS (SELECT doc_id, t, i, length(split_part(p[i], chr(2), 1)) AS n, list_sum(list_transform(p[1:i-1], lambda x: length(replace(x, chr(2), '')))) AS before FROM m, LATERAL (SELECT unnest(range(2, len(p) + 1)) AS i) u),
+    s AS (SELECT doc_id, i, {_PLAIN.format("substr(t, CAST(greatest(before - 24, 0) AS BIGINT) + 1, CAST(before - greatest(before - 24, 0) + n + 24 AS BIGINT))")} AS snippet FROM e),
+    f AS (SELECT doc_id, snippet, min(i) AS i FROM s WHERE snippet <> '' GROUP BY ALL), r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM f) SELECT doc_id, snippet FROM r WHERE k <= 12""")
 def key_number_snippets(spark, sf):
-    text = F.concat(F.col("title"), F.lit(" rose "), (F.col("n_chars") % 90).cast("string"), F.lit("% to $"), (F.col("doc_id") % 50).cast("string"), F.lit("B at last"))
-    return notes(spark, sf).select("doc_id", F.explode(arrow.key_numbers()(text)).alias("snippet"))
+    text = F.expr(FIGURES.replace("AS VARCHAR", "AS STRING"))
+    return notes(spark, sf).select("doc_id", F.explode(K.key_numbers(text)).alias("snippet"))
 
 
 BULLET = "list_filter(str_split(text, chr(10)), lambda x: contains(x, 'idiot') OR contains(x, 'the '))"
@@ -289,13 +297,15 @@ def date_validate(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", dates.valid_date((k % 30 + 1999).cast("string"), (k % 14).cast("string"), (k % 33).cast("string"), LAST_YEAR).alias("valid"))
 
 
-HEAD = "'note ' || CAST(20240000 + (doc_id % 14) * 100 + doc_id % 33 AS VARCHAR) || ' ' || source"
+# Dates in the forms that occur: compact, with separators, with the signs for year, month and day.
+DATED = "CAST(2024 AS VARCHAR) || CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN '-' WHEN 2 THEN '.' ELSE '年' END || lpad(CAST(doc_id % 14 AS VARCHAR), 2, '0') || CASE doc_id % 4 WHEN 0 THEN '' WHEN 1 THEN '-' WHEN 2 THEN '.' ELSE '月' END || lpad(CAST(doc_id % 33 AS VARCHAR), 2, '0') || CASE doc_id % 4 WHEN 3 THEN '日' ELSE '' END"
+HEAD = f"'note ' || {DATED} || ' ' || source"
 
 
-@query(f"""WITH h AS (SELECT doc_id, {HEAD} AS head FROM documents), x AS (SELECT doc_id, regexp_extract(head, '(20\\d{{2}})(0[1-9]|1[0-2])(0[1-9]|[12]\\d|3[01])', ['y', 'm', 'd']) AS p FROM h)
+@query(f"""WITH h AS (SELECT doc_id, {HEAD} AS head FROM documents), x AS (SELECT doc_id, regexp_extract(head, '(20\\d{{2}})[-./年]?(0[1-9]|1[0-2])[-./月]?(0[1-9]|[12]\\d|3[01])', ['y', 'm', 'd']) AS p FROM h)
     SELECT doc_id, coalesce(strftime(TRY_CAST(p.y || '-' || p.m || '-' || p.d AS DATE), '%Y-%m-%d'), 'undated') AS report_date FROM x""")
 def report_date_extract(spark, sf):
-    head = F.concat(F.lit("note "), (F.lit(20240000) + (F.col("doc_id") % 14) * 100 + F.col("doc_id") % 33).cast("string"), F.lit(" "), F.col("source"))
+    head = F.expr(HEAD.replace("AS VARCHAR", "AS STRING"))
     return table(spark, sf, "documents").select("doc_id", F.coalesce(dates.date_in(head, LAST_YEAR), F.lit("undated")).alias("report_date"))
 
 
@@ -311,9 +321,13 @@ def publish_date_coalesce(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.coalesce(blank(day), blank("source")).alias("published"))
 
 
-@query()
+HEADLINE = "CASE doc_id % 3 WHEN 0 THEN upper(substr(source, 1, 1)) || substr(source, 2) || ': ' || title WHEN 1 THEN 'Update Acme ' || upper(lang) || ' (' || upper(lang) || '.US) ' || title ELSE 'The Brook & Co. earnings ' || title END"
+
+
+@query(f"""WITH {NOTES}, t AS (SELECT doc_id, {HEADLINE} AS t FROM notes), n AS ({' UNION ALL '.join(f"SELECT doc_id, unnest(regexp_extract_all(t, '{p}', 1)) AS x FROM t" for p in K.COMPANY)}),
+    c AS (SELECT DISTINCT doc_id, trim(regexp_replace(x, '^(?i)(?:the|a|an|on|re|update|note)\\s+', ''), ' .-') AS company FROM n) SELECT doc_id, company FROM c WHERE length(company) BETWEEN 2 AND 40""")
 def title_company_infer(spark, sf):
-    return notes(spark, sf).select("doc_id", F.explode(arrow.title_companies()(F.concat_ws(": ", F.initcap("source"), "title"))).alias("company"))
+    return notes(spark, sf).select("doc_id", F.explode(K.companies_in(F.expr(HEADLINE))).alias("company"))
 
 
 @query(f"WITH {NOTES} SELECT doc_id, CASE WHEN contains(title, '�') THEN 'document ' || CAST(doc_id AS VARCHAR) ELSE title END AS display_title FROM notes")

@@ -109,10 +109,42 @@ def search_snippet(spark, sf):
     return notes(spark, sf).select("doc_id", S.snippet(["title", "text"], ["erha", "whor"]).alias("snippet"))
 
 
-@query("""WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(split_part(text, chr(10), 1)), '[a-zà-ÿ]{2,}')) AS t FROM documents)
+MARKED = ["erha", "wh"]
+
+
+def _marked(x, word, n):
+    places = "".join(f"(.*?)({word})" for _ in range(n))
+    return f"regexp_replace({x}, '^(?is){places}', '" + "".join(f"\\{2 * i + 1}[\\{2 * i + 2}]" for i in range(n)) + "')"
+
+
+def _marked_twice(x, word):
+    count = f"len(regexp_extract_all({x}, '(?i){word}'))"
+    return f"CASE WHEN {count} >= 2 THEN {_marked(x, word, 2)} WHEN {count} = 1 THEN {_marked(x, word, 1)} ELSE {x} END"
+
+
+@query(f"WITH a AS (SELECT doc_id, {_marked_twice('text', MARKED[0])} AS t FROM documents) SELECT doc_id, {_marked_twice('t', MARKED[1])} AS marked FROM a")
+def highlight_terms(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", K.highlight("text", MARKED).alias("marked"))
+
+
+@query(f"SELECT doc_id, CAST({_first('text', ['erha', 'whor'])} AS INTEGER) AS place FROM documents")
+def first_term_index(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", K.first_index("text", ["erha", "whor"]).alias("place"))
+
+
+ASKED = "AI chips 2.5x for 半导体需求恢复 and a GPU-2"
+
+
+@query(f"""WITH t AS (SELECT unnest(regexp_extract_all('{ASKED}', '{K.TOKEN}')) AS token),
+    a AS (SELECT token FROM t UNION SELECT substr(token, CAST(i AS BIGINT), 3) FROM t, LATERAL (SELECT unnest(range(1, length(token) - 1)) AS i) u WHERE regexp_full_match(token, '[一-鿿]{{5,}}')) SELECT token FROM a WHERE length(token) >= 2""")
+def query_tokens(spark, sf):
+    return spark.createDataFrame([(t,) for t in K.query_tokens(ASKED)], "token string")
+
+
+@query("""WITH w AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-zà-ÿ]{2,}')) AS t FROM documents)
     SELECT doc_id, t AS token, count(*) AS n FROM (SELECT doc_id, CASE WHEN length(t) <= 4 THEN [t] ELSE list_concat(list_transform(range(1, length(t)), lambda i: substr(t, i, 2)), list_transform(range(1, length(t) - 1), lambda i: substr(t, i, 3))) END AS g FROM w) x, LATERAL (SELECT unnest(g) AS t) GROUP BY doc_id, t""")
 def ngram_tokens(spark, sf):
-    return _tokens(table(spark, sf, "documents"), F.substring_index("text", "\n", 1))
+    return _tokens(table(spark, sf, "documents"), F.col("text"))
 
 
 def _tokens(docs, text):
@@ -125,12 +157,6 @@ def _tokens(docs, text):
     return docs.select("doc_id", F.explode(tokens).alias("token")).groupBy("doc_id", "token").agg(F.count("*").alias("n"))
 
 
-# ngram_tokens takes the first line only, as its SQL does; this takes all lines.
-@query()
-def ngram_tokens_whole_text(spark, sf):
-    return _tokens(table(spark, sf, "documents"), F.col("text"))
-
-
 @query()
 def hash_embed_cosine(spark, sf):
     return notes(spark, sf).select("doc_id", F.round(arrow.cosine_to("the thing with whor and dans")("text"), 6).alias("cosine"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import arrow, text as T
+from ..functions import text as T
 from .base import NOTES, notes, query, sql_lines, sql_strip, table
 
 MARKS = ["Licensed under", "All rights reserved", "Copyright"]
@@ -137,11 +137,22 @@ def quality_tier_case(spark, sf):
     return extracted(spark, sf).groupBy(tier.alias("tier")).agg(F.count("*").alias("documents"))
 
 
-CLEANED = f"""rows AS (SELECT doc_id, list_filter(str_split(regexp_replace(text, '\\r\\n?', chr(10), 'g'), chr(10)), lambda x: NOT (x <> '' AND {_noise(sql_strip('x'))})) AS r FROM documents),
-    wrapped AS (SELECT doc_id, flatten(list_transform(list_transform(r, lambda x: {_unmarked('x')}), lambda x: list_transform(range(0, greatest(length(x), 1), 1200), lambda i: substr(x, i + 1, 1200)))) AS w FROM rows)"""
+def _wrapped(lines):
+    """CTEs from a table rows(doc_id, r: lines) to wrapped(doc_id, w: lines of at most 1200 characters)."""
+    cut = "1201 - instr(reverse(substr(rest, 1, 1201)), ' ')"
+    cut = f"CASE WHEN contains(substr(rest, 1, 1201), ' ') AND {cut} >= 600 THEN {cut} ELSE 1200 END"
+    return f"""{lines}, l AS (SELECT doc_id, unnest(r) AS line, unnest(range(1, len(r) + 1)) AS i FROM rows),
+    c(doc_id, i, k, part, rest) AS (SELECT doc_id, i, CAST(0 AS BIGINT), CAST(NULL AS VARCHAR), line FROM l WHERE length(line) > 1200
+        UNION ALL SELECT doc_id, i, k + 1, CASE WHEN length(rest) <= 1200 THEN rest ELSE rtrim(substr(rest, 1, CAST({cut} AS BIGINT))) END,
+            CASE WHEN length(rest) <= 1200 THEN '' ELSE regexp_replace(substr(rest, CAST({cut} AS BIGINT) + 1), '^\\s+', '') END FROM c WHERE rest <> ''),
+    p AS (SELECT doc_id, i, CAST(0 AS BIGINT) AS k, line AS part FROM l WHERE length(line) <= 1200 UNION ALL SELECT doc_id, i, k, part FROM c WHERE k > 0 AND part <> ''),
+    wrapped AS (SELECT doc_id, list(part ORDER BY i, k) AS w FROM p GROUP BY doc_id UNION ALL SELECT doc_id, [] FROM rows WHERE len(r) = 0)"""
 
 
-@query(f"WITH {CLEANED} SELECT doc_id, sha256({sql_strip('regexp_replace(array_to_string(w, chr(10)), ' + chr(39) + chr(92) + 'n{3,}' + chr(39) + ', chr(10) || chr(10), ' + chr(39) + 'g' + chr(39) + ')')}) AS cleaned_sha FROM wrapped")
+CLEANED = _wrapped(f"""rows AS (SELECT doc_id, list_transform(list_filter(str_split(regexp_replace(text, '\\r\\n?', chr(10), 'g'), chr(10)), lambda x: NOT (x <> '' AND {_noise(sql_strip('x'))})), lambda x: {_unmarked('x')}) AS r FROM documents)""")
+
+
+@query(f"WITH RECURSIVE {CLEANED} SELECT doc_id, sha256({sql_strip('regexp_replace(array_to_string(w, chr(10)), ' + chr(39) + chr(92) + 'n{3,}' + chr(39) + ', chr(10) || chr(10), ' + chr(39) + 'g' + chr(39) + ')')}) AS cleaned_sha FROM wrapped")
 def clean_markdown(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.sha2(T.clean("text", MARKS), 256).alias("cleaned_sha"))
 
@@ -166,9 +177,19 @@ def watermark_strip(spark, sf):
     return table(spark, sf, "documents").select("doc_id", F.explode(F.filter(T.lines("text"), lambda x: T.marked(x, MARKS))).alias("line")).select("doc_id", T.without_marks("line", MARKS).alias("stripped"))
 
 
-@query()
+@query("SELECT doc_id, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS squeezed FROM documents")
+def squeeze_whitespace(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", T.squeeze("text").alias("squeezed"))
+
+
+# Every fourth document is a single line, so that there is something to wrap.
+ONE_LINE = "CASE WHEN doc_id % 4 = 0 THEN replace(text, chr(10), ' ') ELSE text END"
+
+
+@query(f"WITH RECURSIVE {_wrapped(f'rows AS (SELECT doc_id, str_split({ONE_LINE}, chr(10)) AS r FROM documents)')} SELECT doc_id, list_max(list_transform(w, lambda x: length(x))) AS max_line, sha256(array_to_string(w, chr(10))) AS wrapped_sha FROM wrapped")
 def hard_wrap(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", arrow.hard_wrap(1200)("text").alias("wrapped")).select("doc_id", T.max_line_length("wrapped").alias("max_line"), F.sha2("wrapped", 256).alias("wrapped_sha"))
+    wrapped = T.hard_wrap(F.expr(ONE_LINE), 1200)
+    return table(spark, sf, "documents").select("doc_id", wrapped.alias("w")).select("doc_id", F.array_max(F.transform("w", F.length)).alias("max_line"), F.sha2(F.array_join("w", "\n"), 256).alias("wrapped_sha"))
 
 
 # The tables hold no noisy line, so every third document gets one of each kind.
@@ -228,30 +249,20 @@ def transient_veto_case(spark, sf):
     return table(spark, sf, "events").groupBy(T.ordered_case(message, VETOED, "unknown").alias("kind")).agg(F.count("*").alias("events"), F.countDistinct("user_id").alias("users"))
 
 
-ANCHORS = "list_filter(list_transform(str_split(text, '.')[1:8], lambda x: regexp_replace(lower(x), '[^a-z]', '', 'g')), lambda x: length(x) >= 12)"
+ANCHORS = "list_filter(list_transform(str_split(text, '.'), lambda x: regexp_replace(lower(x), '[^a-z]', '', 'g')), lambda x: length(x) >= 12)[1:8]"
 
 
-@query(f"WITH a AS (SELECT doc_id, {ANCHORS} AS anchors, regexp_replace(lower(text), '[^a-z]', '', 'g') AS body FROM documents), b AS (SELECT doc_id, len(anchors) AS anchors, len(list_filter(anchors, lambda x: contains(substr(body, 1, 400), x))) AS hits FROM a) SELECT doc_id, anchors, hits, anchors > 0 AND hits >= CASE WHEN anchors <= 2 THEN 1 ELSE 2 END AS verified FROM b")
+@query(f"WITH a AS (SELECT doc_id, {ANCHORS} AS anchors, regexp_replace(lower(text), '[^a-z]', '', 'g') AS body FROM documents), b AS (SELECT doc_id, len(anchors) AS anchors, len(list_filter(anchors, lambda x: contains(body, x))) AS hits FROM a) SELECT doc_id, anchors, hits, anchors > 0 AND hits >= CASE WHEN anchors <= 2 THEN 1 ELSE 2 END AS verified FROM b")
 def anchor_verify(spark, sf):
-    anchors = F.filter(F.transform(F.slice(F.split("text", r"\."), 1, 8), _compact), lambda x: F.length(x) >= 12)
-    rows = table(spark, sf, "documents").select("doc_id", anchors.alias("a"), F.substring(_compact(F.col("text")), 1, 400).alias("body"))
-    return _verified(rows)
-
-
-def _compact(c):
-    return F.regexp_replace(F.lower(c), "[^a-z]", "")
-
-
-def _verified(rows):
+    """The first eight sentences of 12 letters or more, looked for in the whole body."""
+    anchors = F.slice(F.filter(F.transform(F.split("text", r"\."), _compact), lambda x: F.length(x) >= 12), 1, 8)
+    rows = table(spark, sf, "documents").select("doc_id", anchors.alias("a"), _compact(F.col("text")).alias("body"))
     rows = rows.select("doc_id", F.size("a").alias("anchors"), F.size(F.filter("a", lambda x: F.contains(F.col("body"), x))).alias("hits"))
     return rows.withColumn("verified", F.expr("anchors > 0 and hits >= if(anchors <= 2, 1, 2)"))
 
 
-# anchor_verify cuts to eight sentences before the length filter and to 400 letters of the body, as its SQL does; this doesn't.
-@query()
-def anchor_verify_whole_body(spark, sf):
-    anchors = F.slice(F.filter(F.transform(F.split("text", r"\."), _compact), lambda x: F.length(x) >= 12), 1, 8)
-    return _verified(table(spark, sf, "documents").select("doc_id", anchors.alias("a"), _compact(F.col("text")).alias("body")))
+def _compact(c):
+    return F.regexp_replace(F.lower(c), "[^a-z]", "")
 
 
 @query("SELECT doc_id, right(regexp_replace(regexp_replace(text, '(?i)(password|token)(\\s*=\\s*)\\S+', '\\1\\2***', 'g'), 'AKIA[A-Z0-9]{16}', 'AKIA***', 'g'), 1200) AS redacted FROM documents")
