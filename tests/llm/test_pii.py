@@ -91,7 +91,8 @@ def test_documents_against_python(spark):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     # Names, IBANs and other spellings, which the table lacks, among its texts.
     more = ["Mr. John Smith, Dr. John Smith", "Mrs. John Doe-Roe met Dr. JOHN SMITH", "г-жа Анна Петрова", "IBAN BE68 5390 0754 7034 THIS IS IT", "GB82WEST12345698765432", "DE00 3704 0044 0532 0130 00",
-            "+1 918-555-7713 +19185557713 918-555-7713 (918) 555-7713", "+49 30 1234 5678, +85203498298", "078-05-1120", "password=4111111111111112 or 4111111111111111", "token=a.b-c password: ________ secret = --------", "010.1.1.1 and 10.1.1.1"]
+            "+1 918-555-7713 +19185557713 918-555-7713 (918) 555-7713", "+49 30 1234 5678, +85203498298", "078-05-1120", "password=4111111111111112 or 4111111111111111", "token=a.b-c password: ________ secret = --------", "010.1.1.1 and 10.1.1.1",
+            "marks \ufdd0 x@y.org \ufdd1 and \ufdd2 10.1.1.1 \ufdd0", "\ufdd2", "x@y.org", "$1 10.1.1.1 \\1"]
     docs += [(1_000_000 + i, t) for i, t in enumerate(more)]
     own = {r.doc_id: r.text for r in pii.replace_entities(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     wanted = pii_by_hand.replaced([t for _, t in docs])

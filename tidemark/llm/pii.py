@@ -236,19 +236,33 @@ def _combined(kinds: list[str]) -> str:
     return "|".join(f"({PATTERNS[k]})" for k in kinds)
 
 
-def _found(text: Column, kinds: list[str]) -> Column:
-    """The mentions (kind, raw) in order of place."""
-    pattern = F.lit(_combined(kinds))
-    groups = F.arrays_zip(*(F.regexp_extract_all(text, pattern, F.lit(i + 1)).alias(f"g{i}") for i in range(len(kinds))))
-
-    def mention(x: Column) -> Column:
-        kind, raw = F.lit(kinds[-1]), x[f"g{len(kinds) - 1}"]
-        for i in reversed(range(len(kinds) - 1)):
-            own = x[f"g{i}"]
-            kind, raw = F.when(own != "", kinds[i]).otherwise(kind), F.when(own != "", own).otherwise(raw)
+# Noncharacters of Unicode, which texts don't hold as a rule, mark off mentions and groups.
+_START, _NEXT, _END = "\ufdd0", "\ufdd1", "\ufdd2"
+
+
+def _cut(text: Column, kinds: list[str]) -> Column:
+    """The text as struct (found: mentions (kind, raw) in order of place, gaps: what stands before each, and behind the last).
+
+    One scan replaces each mention by its groups between marks; texts that hold
+    such a mark themselves are scanned once for each group instead.
+    """
+    pattern = _combined(kinds)
+
+    def mention(groups: list[Column]) -> Column:
+        kind, raw = F.lit(kinds[-1]), groups[-1]
+        for k, own in reversed([*zip(kinds[:-1], groups)]):
+            kind, raw = F.when(own != "", k).otherwise(kind), F.when(own != "", own).otherwise(raw)
         return F.struct(kind.alias("kind"), raw.alias("raw"))
 
-    return F.transform(groups, mention)
+    marks = _START + _NEXT.join(f"${i + 1}" for i in range(len(kinds))) + _END
+    pieces = F.split(F.regexp_replace(text, F.lit(pattern), F.lit(marks)), _START, -1)
+    rest = F.slice(pieces, F.lit(2), F.size(pieces))
+    groups = F.transform(rest, lambda x: F.split(F.substring_index(x, _END, 1), _NEXT, -1))
+    found = F.transform(groups, lambda g: mention([g[i] for i in range(len(kinds))]))
+    gaps = F.concat(F.slice(pieces, 1, 1), F.transform(rest, lambda x: F.substring_index(x, _END, -1)))
+    zipped = F.arrays_zip(*(F.regexp_extract_all(text, F.lit(pattern), F.lit(i + 1)).alias(f"g{i}") for i in range(len(kinds))))
+    slowly = F.struct(F.transform(zipped, lambda x: mention([x[f"g{i}"] for i in range(len(kinds))])).alias("found"), F.split(text, pattern, -1).alias("gaps"))
+    return F.when(text.rlike(f"[{_START}-{_END}]"), slowly).otherwise(F.struct(found.alias("found"), gaps.alias("gaps")))
 
 
 def _escaped(word: str) -> str:
@@ -292,12 +306,13 @@ _FORM = """case
 
 
 def mentions(docs: DataFrame, kinds: list[str] | None = None, text_col: str = "text") -> DataFrame:
-    """(d, key, found): the rows of docs whose text holds entities as structs, a key of the text, and the mentions (kind, raw) in order of place."""
+    """(d, key, found, gaps): the rows of docs whose text holds entities as structs, a key of the text, the mentions (kind, raw) in order of place, and the text around them."""
     kinds = list(kinds or PATTERNS)
     text = F.col(text_col).cast("string")
-    # The place of the first mention is enough to tell; the groups are read from texts that have one.
+    # The first mention is enough to tell; texts that have one are read to their end.
     rows = docs.where(_may_hold(text) & text.rlike(_combined(kinds)))
-    return rows.select(F.struct(*docs.columns).alias("d"), F.sha2(text, 256).alias("key"), _found(text, kinds).alias("found"))
+    rows = rows.select(F.struct(*docs.columns).alias("d"), F.sha2(text, 256).alias("key"), _cut(text, kinds).alias("cut"))
+    return rows.select("d", "key", "cut.found", "cut.gaps")
 
 
 def replace_entities(docs: DataFrame, key: str = "tidemark", kinds: list[str] | None = None, text_col: str = "text", length_col: str | None = None) -> DataFrame:
@@ -322,11 +337,10 @@ def replace_entities(docs: DataFrame, key: str = "tidemark", kinds: list[str] |
     new = each.join(surrogates(known, key).select("kind", "norm", "surrogate"), ["kind", "norm"], "left")
     new = new.withColumn("out", F.concat("before", F.when(F.col("kind") == "other", F.col("raw")).otherwise(F.expr(_FORM))))
     outs = new.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("pos", "part", "out"))).alias("outs"))
-    met = hits.select("d", "key").join(written(outs, "replacements"), "key")
+    met = hits.select("d", "key", "gaps").join(written(outs, "replacements"), "key")
     # Gaps and replacements in turn; a name's later words belong to the gap of its first.
-    at = F.col(f"d.`{text_col}`").cast("string")
     by_place = F.expr("aggregate(outs, array(cast(null as string)), (a, x) -> if(x.part = 0, concat(a, array(x.out)), concat(slice(a, 1, size(a) - 1), array(concat(element_at(a, -1), x.out)))), a -> slice(a, 2, size(a)))")
-    joined = F.array_join(F.zip_with(F.split(at, _combined(kinds), -1), by_place, lambda g, o: F.concat(g, F.coalesce(o, F.lit("")))), "")
+    joined = F.array_join(F.zip_with("gaps", by_place, lambda g, o: F.concat(g, F.coalesce(o, F.lit("")))), "")
     changed = met.select("d", joined.alias("t"))
     columns = []
     for c in docs.columns:
