@@ -1,7 +1,7 @@
 """Vector searches against brute force."""
 
 import math
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 
@@ -73,23 +73,68 @@ def test_covertree_is_exact_over_shards_and_blocks(spark):
     assert own == brute(rows, 5, 50, ints, True)
 
 
+def searched_by_hand(v, ids, own_ids, k, score):
+    whole = {int(i): [score(c) for c in row.tolist()] for i, row in zip(ids, v)}
+    out = {}
+    for i in own_ids.tolist():
+        cut = lambda s: max(min(s, 2**63 - 1), -(2**63))
+        scored = sorted((-cut(sum(a * b for a, b in zip(whole[i], w))), j) for j, w in whole.items() if j != i)[:k]
+        out[i] = [(j, -s) for s, j in scored]
+    return out
+
+
+def dual(v, ids, at, k=5, stats=None):
+    own = defaultdict(list)
+    for a, b, s in covertree.dual_search(covertree.index(ids, v), covertree.index(ids[at], v[at], 1), k, stats):
+        for x, y, z in zip(a.tolist(), b.tolist(), s.tolist()):
+            own[x].append((y, z))
+    return dict(own)
+
+
+def floored(c):
+    return math.floor(c * 256) if abs(c) < 2**45 else int(c) * 256
+
+
 def test_covertree_on_clusters_ties_and_large_numbers():
     r = np.random.default_rng(1)
-    for spread, scale in ((0.01, 1), (1, 1), (0.1, 1e6), (1, 1e9)):
+    ids, at = np.arange(600) * 3, np.arange(0, 600, 25)
+    for spread, scale in ((0.01, 1), (1, 1), (0.1, 1e6), (1, 1e9), (1, 1e20), (0.1, 1e300), (1, 1e-12)):
         centres = r.normal(size=(8, 12))
         v = (centres[r.integers(0, 8, 600)] + spread * r.normal(size=(600, 12))) * scale
         v[100:200] = v[0]
-        ids = np.arange(600) * 3
-        tree, q = covertree.index(ids, v), covertree.index(ids[::25], v[::25])
-        own = defaultdict(list)
-        for a, b, s in covertree.dual_search(tree, q, 5):
-            for x, y, z in zip(a.tolist(), b.tolist(), s.tolist()):
-                own[x].append((y, z))
-        whole = [[int(c) for c in row] for row in np.floor(256 * v)]
-        for i in range(0, 600, 25):
-            scored = sorted((-sum(a * b for a, b in zip(whole[i], w)), j * 3) for j, w in enumerate(whole) if j != i)[:5]
-            top = [(j, max(min(-s, 2**63 - 1), -(2**63))) for s, j in scored]
-            assert own[i * 3] == top
+        assert dual(v, ids, at) == searched_by_hand(v, ids, ids[at], 5, floored), (spread, scale)
+
+
+def test_covertree_on_mixed_magnitudes(spark):
+    rows = [(0, [1e307, 1.0]), (50, [-1e307, 2.0]), (1, [1e307, -1e307]), (2, [0.5, 0.25]), (3, [1e200, 1e-200]), (100, [3.0, 4.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    wanted = searched_by_hand(np.array([v for _, v in rows]), np.array([i for i, _ in rows]), np.array([0, 50, 100]), 5, floored)
+    assert collected(covertree.top_products(df)) == wanted
+
+
+def test_covertree_prunes_clusters_and_stays_exact():
+    """Clusters far apart: most pairs of nodes are cut before their points are met."""
+    r = np.random.default_rng(5)
+    centres = r.normal(size=(40, 16))
+    centres *= 10 / np.linalg.norm(centres, axis=1, keepdims=True)
+    v = centres[r.integers(0, 40, 4000)] + 0.05 * r.normal(size=(4000, 16))
+    ids, at = np.arange(4000), np.arange(0, 4000, 20)
+    stats = Counter()
+    own = dual(v, ids, at, stats=stats)
+    x = np.floor(256 * v).astype(np.int64)
+    for i in at:
+        s = x @ x[i]
+        order = [j for j in np.lexsort((ids, -s)) if j != i][:5]
+        assert own[i] == [(j, s[j]) for j in order]
+    everything = len(at) * len(v)
+    assert stats["products"] < everything / 10, stats
+    assert stats["pairs_cut"] > 0 and stats["inner_cut"] > 0, stats
+
+
+def test_covertree_without_any_distance():
+    v = np.ones((300, 4))
+    ids = np.arange(300)
+    assert dual(v, ids, np.arange(0, 300, 100)) == {0: [(i, 4 * 65536) for i in range(1, 6)], 100: [(i, 4 * 65536) for i in range(5)], 200: [(i, 4 * 65536) for i in range(5)]}
 
 
 def test_cover_tree_covers():
@@ -101,6 +146,19 @@ def test_cover_tree_covers():
         assert np.sqrt(((x[points] - x[c]) ** 2).sum(1)).max() <= radius + 1e-9
 
 
+def test_siblings_lie_further_apart_than_the_next_radius():
+    r = np.random.default_rng(4)
+    for x in (r.integers(-300, 300, size=(700, 6)).astype(float), np.floor(256 * r.normal(size=(900, 64)) / 8)):
+        t = covertree.build_tree(x)
+        assert sorted(t["order"].tolist()) == list(range(len(x)))
+        for (a, b), radius in zip(t["kids"], t["radius"]):
+            c = x[t["centre"][a:b]]
+            if len(c) > 1:
+                d = np.sqrt(((c[:, None] - c) ** 2).sum(2)) + 1e9 * np.eye(len(c))
+                assert d.min() > radius / covertree.BASE - 1e-6
+                assert (t["radius"][a:b] <= radius / covertree.BASE + 1e-6).all()
+
+
 def recall(own, wanted):
     return sum(len({i for i, _ in own.get(q, [])} & {i for i, _ in x}) for q, x in wanted.items()) / sum(map(len, wanted.values()))
 
@@ -121,19 +179,58 @@ def test_hnsw_recall_on_embeddings(spark):
     assert hit / total >= 0.9
 
 
+def found_over_shards(spark, v, **more):
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>")
+    return collected(hnsw.nearest(df, **more))
+
+
+def recall_of(v, own, every=20, k=20):
+    """Share of the true nearest; a found vector that is as near as the last true one counts."""
+    hit = total = 0
+    ids = np.arange(len(v))
+    for q in range(0, len(v), every):
+        s = v @ v[q]
+        s[q] = -np.inf
+        least = np.sort(s)[-k]
+        hit += sum(s[i] >= least - 1e-12 for i, _ in own[q])
+        total += k
+        assert len(own[q]) == k == len({i for i, _ in own[q]})
+    return hit / total
+
+
+def test_hnsw_recall_over_several_shards(spark):
+    r = np.random.default_rng(6)
+    v = r.normal(size=(6000, 64))
+    assert recall_of(v, found_over_shards(spark, v, shard_rows=1500, block_rows=100)) >= 0.9
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    assert recall_of(v, found_over_shards(spark, v, shard_rows=3000)) >= 0.9
+
+
+def test_hnsw_recall_with_uneven_lengths(spark):
+    r = np.random.default_rng(7)
+    v = r.normal(size=(6000, 64)) * np.exp(r.normal(size=(6000, 1)))
+    assert recall_of(v, found_over_shards(spark, v, shard_rows=2000)) >= 0.9
+    assert recall_of(v, found_over_shards(spark, v)) >= 0.9
+
+
 def test_hnsw_with_a_common_vector_and_unequal_lengths():
     r = np.random.default_rng(2)
     v = r.normal(size=(1500, 16)) * r.uniform(0.2, 3, size=(1500, 1))
     v[300:800] = v[7]
     ids = np.arange(1500)
-    index = hnsw.build_index(ids, v)
-    q = {"ids": ids[::20], "v": v[::20]}
-    own = defaultdict(set)
-    for a, b, _ in hnsw.search_index(index, q, 20, 128):
+    own = defaultdict(list)
+    for a, b, _ in hnsw.search_index(hnsw.build_index(ids, v), {"ids": ids[::20], "v": v[::20]}, 20, 128):
         for x, y in zip(a.tolist(), b.tolist()):
-            own[x].add(y)
-    hit = 0
-    for i in ids[::20]:
-        s = v @ v[i]
-        hit += len(own[i] & {int(j) for j in np.lexsort((ids, -s)) if j != i and True} & {int(j) for j in [x for x in np.lexsort((ids, -np.round(s, 9))) if x != i][:20]})
-    assert hit / (20 * len(q["ids"])) >= 0.9
+            own[x].append((y, 0))
+    assert recall_of(v, own) >= 0.9
+
+
+def test_small_graphs_find_everything():
+    r = np.random.default_rng(8)
+    for n in (1, 2, 3, 20, 33, 100):
+        v, ids = r.normal(size=(n, 8)), np.arange(n)
+        own = defaultdict(set)
+        for a, b, _ in hnsw.search_index(hnsw.build_index(ids, v), {"ids": ids, "v": v}, 200, 128):
+            for x, y in zip(a.tolist(), b.tolist()):
+                own[x].add(y)
+        assert all(own[i] == set(range(n)) - {i} for i in range(n))

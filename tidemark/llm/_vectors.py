@@ -1,8 +1,7 @@
-"""What the vector searches share: usable vectors, shards, query blocks and the merge of shard results."""
+"""What the vector searches share: usable vectors, shards that stay in place, blocks of queries sent to them, and the merge of shard results."""
 
 from __future__ import annotations
 
-import io
 import math
 from collections.abc import Callable, Iterator
 
@@ -10,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._shared import written
+from ._shared import filesystem, path_of, written
 
 
 def usable(table: DataFrame, id_col: str, vector_col: str, zero: bool) -> DataFrame:
@@ -28,33 +27,36 @@ def usable(table: DataFrame, id_col: str, vector_col: str, zero: bool) -> DataFr
     return written(rows.groupBy("vec_id").agg(F.min("v").alias("v")), "vectors")
 
 
-def packed(arrays: dict[str, np.ndarray]) -> bytes:
-    out = io.BytesIO()
-    np.savez(out, **arrays)
-    return out.getvalue()
-
-
-def unpacked(data: bytes) -> dict[str, np.ndarray]:
-    with np.load(io.BytesIO(data)) as z:
-        return dict(z)
-
-
-def grouped(vectors: DataFrame, groups: int, name: str, build: Callable[[np.ndarray, np.ndarray], dict[str, np.ndarray]]) -> DataFrame:
-    """A table (dim, <name>, <name>_data): build(ids, vectors) of each group, by hash of the id, of vectors of one length."""
-
-    def run(t):
-        import pyarrow as pa
-
-        ids = t.column("vec_id").to_numpy()
-        order = np.argsort(ids)
-        dim = t.column("dim")[0].as_py()
-        v = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in t.column("v").chunks]).reshape(len(ids), dim)
-        data = packed(build(ids[order], v[order]))
-        return pa.table({"dim": pa.array([dim], pa.int32()), name: pa.array([t.column(name)[0].as_py()], pa.int32()), f"{name}_data": pa.array([data], pa.binary())})
-
-    at = F.pmod(F.xxhash64("vec_id", F.lit(name)), F.lit(groups)).cast("int").alias(name)
-    rows = vectors.select("vec_id", "v", F.size("v").alias("dim"), at)
-    return written(rows.groupBy("dim", name).applyInArrow(run, f"dim int, {name} int, {name}_data binary"), name)
+def _matrices(batches: list, least: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(ids, vectors) by length of vector, from Arrow batches (vec_id, v); ids ascend."""
+    by_length: dict[int, list] = {}
+    for b in batches:
+        v = b.column(1)
+        ends = v.offsets.to_numpy()
+        flat, sizes, ids = v.values.to_numpy(zero_copy_only=False), np.diff(ends), b.column(0).to_numpy()
+        for n in np.unique(sizes):
+            rows = np.flatnonzero(sizes == n)
+            by_length.setdefault(int(n), []).append((ids[rows], flat[ends[rows][:, None] + np.arange(n)]))
+    for n in sorted(by_length):
+        if n > least:
+            ids, vectors = (np.concatenate(x) for x in zip(*by_length[n]))
+            order = np.argsort(ids)
+            yield ids[order], vectors[order]
+
+
+def read_blocks(folder: str, rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(ids, vectors) of a table (vec_id, v) in the shared folder, about so many rows at a time."""
+    import pyarrow.dataset as ds
+
+    fs, path = filesystem(folder)
+    held, count = [], 0
+    for b in ds.dataset(path, filesystem=fs, format="parquet").to_batches(columns=["vec_id", "v"], batch_size=rows, batch_readahead=1, fragment_readahead=1):
+        held.append(b)
+        count += b.num_rows
+        if count >= rows:
+            yield from _matrices(held)
+            held, count = [], 0
+    yield from _matrices(held)
 
 
 def searched(
@@ -63,35 +65,35 @@ def searched(
     k: int,
     shard_rows: int,
     block_rows: int,
-    index: Callable[[np.ndarray, np.ndarray], dict[str, np.ndarray]],
-    block: Callable[[np.ndarray, np.ndarray], dict[str, np.ndarray]],
+    index: Callable[[np.ndarray, np.ndarray], dict],
+    block: Callable[[np.ndarray, np.ndarray], dict],
     search: Callable[[dict, dict, int], Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]],
     score: str,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k best of all shards.
 
-    Each shard of the index meets each block of queries in a row of its own;
-    both have a bounded size, so neither the corpus nor the queries must fit
-    anywhere as a whole. search yields (query ids, vector ids, scores) arrays.
+    A shard is one task's: it is indexed where its rows arrive and stays there,
+    while the queries, a table in the shared folder, pass by in blocks. So a vector
+    is shuffled once, a query is read once a shard, and a task holds one shard's
+    index and one block, whatever the size of either table. A lost task builds
+    its index anew. search yields (query ids, vector ids, scores) arrays.
     """
     shards = max(1, math.ceil(vectors.count() / shard_rows))
-    blocks = max(1, math.ceil(queries.count() / block_rows))
-    left = grouped(vectors, shards, "shard", index)
-    right = grouped(queries, blocks, "block", block)
-    left = left.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    right = right.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    met = left.join(right.hint("shuffle_merge"), ["dim", "shard", "block"]).select("shard_data", "block_data")
+    folder = path_of(written(queries.select("vec_id", "v"), "queries"))
+    rows = vectors.select("vec_id", "v", F.pmod(F.xxhash64("vec_id", F.lit("shard")), F.lit(shards)).cast("int").alias("shard"))
+    dealt = rows.repartitionById(shards, F.col("shard")).select("vec_id", "v")
 
     def run(batches):
         import pyarrow as pa
 
         kind = pa.float64() if score == "double" else pa.int64()
-        for b in batches:
-            for i in range(b.num_rows):
-                for q, v, s in search(unpacked(b.column(0)[i].as_py()), unpacked(b.column(1)[i].as_py()), k):
-                    yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64()), pa.array(s, kind)], names=["query_id", "vec_id", "score"])
+        indexes = {v.shape[1]: index(ids, v) for ids, v in _matrices(list(batches))}
+        for ids, v in read_blocks(folder, block_rows) if indexes else ():
+            if v.shape[1] in indexes:
+                for q, c, s in search(indexes[v.shape[1]], block(ids, v), k):
+                    yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(c, pa.int64()), pa.array(s, kind)], names=["query_id", "vec_id", "score"])
 
-    found = met.mapInArrow(run, f"query_id bigint, vec_id bigint, score {score}")
+    found = dealt.mapInArrow(run, f"query_id bigint, vec_id bigint, score {score}")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -6,8 +6,12 @@ run for a whole batch in lockstep: each step expands the best unexpanded
 candidates of all queries at once. Vectors that are equal are one node with several ids.
 
 Inner products become cosines by an added component that gives all vectors of
-the shard the same length; a query has zero there, so the order of inner products
-is kept. Scores are computed anew in double precision on the original vectors.
+a graph the same length; a query has zero there, so the order of inner products
+is kept. So that this component doesn't outweigh the rest, a shard's vectors
+are kept in bands of similar length, a graph each; vectors of one length are one
+band. A query goes through the bands from the longest vectors on, and leaves out
+those whose greatest length can't reach its kth score. Scores are computed
+anew in double precision on the original vectors.
 """
 
 from __future__ import annotations
@@ -22,6 +26,8 @@ from ._vectors import searched, top, usable
 
 WIDTH = 16
 BATCH = 512
+#: Lengths in a band differ by less than this factor.
+BAND = 1.25
 
 
 def _beam(x: np.ndarray, graph: np.ndarray, q: np.ndarray, entry: np.ndarray, ef: int, expand: int = 2) -> tuple[np.ndarray, np.ndarray]:
@@ -158,9 +164,7 @@ class Graph:
         return at
 
     def search(self, q: np.ndarray, ef: int) -> np.ndarray:
-        """Each query's ef best nodes found; all nodes when there are no more."""
-        if len(self.x) <= ef:
-            return np.tile(np.arange(len(self.x)), (len(q), 1))
+        """Each query's ef best nodes found, -1 where there are fewer."""
         upper = Graph(self.x, self.layers[1:], self.entry)
         return _beam(self.x, self.layers[0], q, upper.descend(q), ef)[0]
 
@@ -173,39 +177,60 @@ def _levelled(v: np.ndarray) -> np.ndarray:
     return np.concatenate([scaled, rest[:, None]], 1).astype(np.float32)
 
 
-def build_index(ids: np.ndarray, v: np.ndarray, width: int = WIDTH, ef: int = 64) -> dict[str, np.ndarray]:
-    """The shard as flat arrays: distinct vectors, ids by node, neighbour arrays by layer."""
-    distinct, node = np.unique(v, axis=0, return_inverse=True)
-    node = node.ravel()
-    order = np.lexsort((ids, node))
-    g = Graph.build(_levelled(distinct), width, ef)
-    out = {"v": distinct, "ids": ids[order], "starts": np.searchsorted(node[order], np.arange(len(distinct) + 1)), "entry": np.array(g.entry)}
-    return out | {f"layer{i}": layer for i, layer in enumerate(g.layers)}
+def _length(v: np.ndarray) -> np.ndarray:
+    """Lengths of rows, without overflow."""
+    most = np.maximum(np.abs(v).max(1), 1e-300)
+    return most * np.sqrt(((v / most[:, None]) ** 2).sum(1))
 
 
-def search_index(index: dict[str, np.ndarray], queries: dict[str, np.ndarray], k: int, ef: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    layers = [index[f"layer{i}"] for i in range(sum(name.startswith("layer") for name in index))]
-    v, ids, starts = index["v"], index["ids"], index["starts"]
-    g = Graph(_levelled(v), layers, int(index["entry"]))
+def build_index(ids: np.ndarray, v: np.ndarray, width: int = WIDTH, ef: int = 64) -> dict:
+    """The shard as bands, the longest vectors first; each has flat arrays: distinct vectors, ids by node, neighbours by layer."""
+    distinct, node = np.unique(v, axis=0, return_inverse=True)
+    node = node.ravel()
+    lengths = _length(distinct)
+    band = np.floor(np.log(lengths.max() / lengths) / np.log(BAND) + 1e-6).astype(np.int64)
+    bands = []
+    for i in np.unique(band):
+        own = np.flatnonzero(band == i)
+        rank = np.full(len(distinct), -1)
+        rank[own] = np.arange(len(own))
+        rows = np.flatnonzero(rank[node] >= 0)
+        rows = rows[np.lexsort((ids[rows], rank[node[rows]]))]
+        levelled = _levelled(distinct[own])
+        g = Graph.build(levelled, width, ef)
+        bands.append({"v": distinct[own], "levelled": levelled, "ids": ids[rows], "starts": np.searchsorted(rank[node[rows]], np.arange(len(own) + 1)), "entry": g.entry, "layers": g.layers, "longest": lengths[own].max()})
+    return {"bands": bands}
+
+
+def search_index(index: dict, queries: dict, k: int, ef: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(query ids, vector ids, scores): each query's k nearest found, itself excepted."""
     for b in range(0, len(queries["ids"]), BATCH):
         own, q = queries["ids"][b : b + BATCH], queries["v"][b : b + BATCH]
         unit = q / np.maximum(np.abs(q).max(1, keepdims=True), 1e-300)
         flat = np.concatenate([unit, np.zeros((len(q), 1))], 1).astype(np.float32)
-        found = g.search(flat, max(ef, k + 1))
-        out_q, out_v, out_s = [], [], []
-        for i, nodes in enumerate(found):
-            nodes = nodes[nodes >= 0]
-            scores = (v[nodes] * q[i]).sum(1)
-            # A node's k + 1 smallest ids are enough, one of which may be the query's own.
-            some = [ids[starts[n] : min(starts[n + 1], starts[n] + k + 1)] for n in nodes]
-            s, c = np.repeat(scores, [len(x) for x in some]), np.concatenate(some)
-            s, c = s[c != own[i]], c[c != own[i]]
-            best = top(c, s, k)
-            out_q.append(np.full(len(best), own[i])), out_v.append(c[best]), out_s.append(s[best])
-        yield np.concatenate(out_q), np.concatenate(out_v), np.concatenate(out_s)
-
-
-def nearest(table: DataFrame, k: int = 20, every: int = 20, ef: int = 128, shard_rows: int = 4096, block_rows: int = 4096, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
+        lengths, worst = _length(q), np.full(len(q), -np.inf)
+        scores, found = [np.empty(0)] * len(q), [np.empty(0, np.int64)] * len(q)
+        for band in index["bands"]:
+            at = np.flatnonzero(lengths * band["longest"] * (1 + 1e-9) >= worst)
+            if not len(at):
+                break
+            v, ids, starts = band["v"], band["ids"], band["starts"]
+            g = Graph(band["levelled"], band["layers"], band["entry"])
+            for i, nodes in zip(at, g.search(flat[at], max(ef, k + 1))):
+                nodes = nodes[nodes >= 0]
+                near = (v[nodes] * q[i]).sum(1)
+                # A node's k + 1 smallest ids are enough, one of which may be the query's own.
+                some = [ids[starts[n] : min(starts[n + 1], starts[n] + k + 1)] for n in nodes]
+                s, c = np.repeat(near, [len(x) for x in some]), np.concatenate(some)
+                s, c = np.concatenate([scores[i], s[c != own[i]]]), np.concatenate([found[i], c[c != own[i]]])
+                best = top(c, s, k)
+                scores[i], found[i] = s[best], c[best]
+                if len(best) == k:
+                    worst[i] = s[best][-1]
+        yield np.repeat(own, [len(x) for x in found]), np.concatenate(found), np.concatenate(scores)
+
+
+def nearest(table: DataFrame, k: int = 20, every: int = 20, ef: int = 128, shard_rows: int = 16384, block_rows: int = 4096, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): for rows whose id is divisible by `every`, the k nearest found by inner product.
 
     Every row but the query's own is a candidate; vectors of another length
