@@ -78,13 +78,13 @@ PATTERNS = {
     "phone": r"(?<![A-Za-z0-9_+])\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,4}(?![0-9])|(?<![A-Za-z0-9_(])\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}(?![0-9])|(?<![A-Za-z0-9_-])[0-9]{3}-[0-9]{3}-[0-9]{4}(?![A-Za-z0-9_-])",
     "name": _first + r"(?<![\p{L}\p{N}])(?:" + _address + r")\.? " + _word + "(?: " + _word + ")*+",
 }
-#: Texts that none of these finds hold no entity; each is a scan with a cheap first character.
-GATES = ["[0-9@]", r"[=:](?<=(?i:password|passwd|secret|token|api_key|apikey) {0,2}[=:])", _first + "(?:" + _address + r")\.? \p{Lu}", "A[KS]IA[A-Z0-9]{16}"]
+#: Texts that none of these finds, and that hold no access key's first letters, hold no entity; each is a scan with a cheap first character.
+GATES = ["[0-9@]", r"[=:](?<=(?i:password|passwd|secret|token|api_key|apikey) {0,2}[=:])", _first + "(?:" + _address + r")\.? \p{Lu}"]
 
 
 def _may_hold(text: Column) -> Column:
-    found = text.rlike(GATES[0])
-    for g in GATES[1:]:
+    found = F.contains(text, F.lit("AKIA")) | F.contains(text, F.lit("ASIA"))
+    for g in GATES:
         found = found | text.rlike(g)
     return found
 
@@ -232,37 +232,57 @@ def surrogates(entities: DataFrame, key: str, max_rounds: int = 200) -> DataFram
 
 
 def _combined(kinds: list[str]) -> str:
-    """All patterns as one, a group each: the group that matched tells the kind, with what stands around the mention."""
-    return "|".join(f"({PATTERNS[k]})" for k in kinds)
+    """All patterns as one, a group each: the group that matched tells the kind, with what stands around the mention.
+
+    All but an address's begin behind a character that is no letter or digit of
+    ASCII; looking at that first passes over the inside of words at once. No two
+    patterns match at one place in different order by that.
+    """
+    inside = [k for k in kinds if k == "ip"]
+    outside = [k for k in kinds if k != "ip"]
+    guarded = "(?<![A-Za-z0-9])(?:" + "|".join(f"({PATTERNS[k]})" for k in outside) + ")" if outside else ""
+    return "|".join(filter(None, [guarded, *(f"({PATTERNS[k]})" for k in inside)]))
+
+
+def _in_order(kinds: list[str]) -> list[str]:
+    """The kinds in the order of their groups."""
+    return [k for k in kinds if k != "ip"] + [k for k in kinds if k == "ip"]
 
 
 # Noncharacters of Unicode, which texts don't hold as a rule, mark off mentions and groups.
 _START, _NEXT, _END = "\ufdd0", "\ufdd1", "\ufdd2"
 
 
-def _cut(text: Column, kinds: list[str]) -> Column:
-    """The text as struct (found: mentions (kind, raw) in order of place, gaps: what stands before each, and behind the last).
+def _marked(text: Column, kinds: list[str]) -> Column:
+    """The text split at its mentions by one scan: each piece but the first holds a mention's groups and the text behind it. Null for texts with such marks."""
+    marks = _START + _NEXT.join(f"${i + 1}" for i in range(len(kinds))) + _END
+    pieces = F.split(F.regexp_replace(text, F.lit(_combined(kinds)), F.lit(marks)), _START, -1)
+    return F.when(~text.rlike(f"[{_START}-{_END}]"), pieces)
 
-    One scan replaces each mention by its groups between marks; texts that hold
-    such a mark themselves are scanned once for each group instead.
-    """
-    pattern = _combined(kinds)
 
-    def mention(groups: list[Column]) -> Column:
-        kind, raw = F.lit(kinds[-1]), groups[-1]
-        for k, own in reversed([*zip(kinds[:-1], groups)]):
-            kind, raw = F.when(own != "", k).otherwise(kind), F.when(own != "", own).otherwise(raw)
-        return F.struct(kind.alias("kind"), raw.alias("raw"))
+def _mention(kinds: list[str], groups: list[Column]) -> Column:
+    kind, raw = F.lit(kinds[-1]), groups[-1]
+    for k, own in reversed([*zip(kinds[:-1], groups)]):
+        kind, raw = F.when(own != "", k).otherwise(kind), F.when(own != "", own).otherwise(raw)
+    return F.struct(kind.alias("kind"), raw.alias("raw"))
 
-    marks = _START + _NEXT.join(f"${i + 1}" for i in range(len(kinds))) + _END
-    pieces = F.split(F.regexp_replace(text, F.lit(pattern), F.lit(marks)), _START, -1)
-    rest = F.slice(pieces, F.lit(2), F.size(pieces))
-    groups = F.transform(rest, lambda x: F.split(F.substring_index(x, _END, 1), _NEXT, -1))
-    found = F.transform(groups, lambda g: mention([g[i] for i in range(len(kinds))]))
-    gaps = F.concat(F.slice(pieces, 1, 1), F.transform(rest, lambda x: F.substring_index(x, _END, -1)))
-    zipped = F.arrays_zip(*(F.regexp_extract_all(text, F.lit(pattern), F.lit(i + 1)).alias(f"g{i}") for i in range(len(kinds))))
-    slowly = F.struct(F.transform(zipped, lambda x: mention([x[f"g{i}"] for i in range(len(kinds))])).alias("found"), F.split(text, pattern, -1).alias("gaps"))
-    return F.when(text.rlike(f"[{_START}-{_END}]"), slowly).otherwise(F.struct(found.alias("found"), gaps.alias("gaps")))
+
+def _found(text: Column, pieces: Column, kinds: list[str]) -> Column:
+    """The mentions (kind, raw) in order of place; texts with marks of their own are scanned once for each group."""
+
+    def mention(piece: Column) -> Column:
+        fields = F.split(F.substring_index(piece, _END, 1), _NEXT, -1)
+        return _mention(kinds, [fields[i] for i in range(len(kinds))])
+
+    zipped = F.arrays_zip(*(F.regexp_extract_all(text, F.lit(_combined(kinds)), F.lit(i + 1)).alias(f"g{i}") for i in range(len(kinds))))
+    slowly = F.transform(zipped, lambda x: _mention(kinds, [x[f"g{i}"] for i in range(len(kinds))]))
+    return F.when(pieces.isNull(), slowly).otherwise(F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), mention))
+
+
+def _gaps(text: Column, pieces: Column, kinds: list[str]) -> Column:
+    """What stands before each mention, and behind the last."""
+    after = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), lambda x: F.substring_index(x, _END, -1))
+    return F.when(pieces.isNull(), F.split(text, _combined(kinds), -1)).otherwise(F.concat(F.slice(pieces, 1, 1), after))
 
 
 def _escaped(word: str) -> str:
@@ -307,12 +327,14 @@ _FORM = """case
 
 def mentions(docs: DataFrame, kinds: list[str] | None = None, text_col: str = "text") -> DataFrame:
     """(d, key, found, gaps): the rows of docs whose text holds entities as structs, a key of the text, the mentions (kind, raw) in order of place, and the text around them."""
-    kinds = list(kinds or PATTERNS)
+    kinds = _in_order(list(kinds or PATTERNS))
     text = F.col(text_col).cast("string")
     # The first mention is enough to tell; texts that have one are read to their end.
     rows = docs.where(_may_hold(text) & text.rlike(_combined(kinds)))
-    rows = rows.select(F.struct(*docs.columns).alias("d"), F.sha2(text, 256).alias("key"), _cut(text, kinds).alias("cut"))
-    return rows.select("d", "key", "cut.found", "cut.gaps")
+    # The pieces are a step of their own, as both columns made of them need the scan.
+    rows = rows.select(F.struct(*docs.columns).alias("d"), text.alias("t"), _marked(text, kinds).alias("pieces"))
+    t, pieces = F.col("t"), F.col("pieces")
+    return rows.select("d", F.sha2(t, 256).alias("key"), _found(t, pieces, kinds).alias("found"), _gaps(t, pieces, kinds).alias("gaps"))
 
 
 def replace_entities(docs: DataFrame, key: str = "tidemark", kinds: list[str] | None = None, text_col: str = "text", length_col: str | None = None) -> DataFrame:
