@@ -63,6 +63,14 @@ def delete_tables(spark: SparkSession) -> None:
     _delete(spark, shared_dir(spark).rsplit("/", 1)[0])
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores behind it as no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     """The file system that a Hadoop-style URI names, and the path there."""
     if uri.startswith("file:"):
