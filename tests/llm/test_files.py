@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import random
 import zlib
 from collections import defaultdict
 
@@ -11,7 +12,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tidemark.llm import records, warc
-from tidemark.llm._shared import tokenizer_file
+from tidemark.llm._shared import shared_dir, tokenizer_file
 
 SF = "/root/testdata/sf0.001"
 PAGES = [
@@ -84,8 +85,9 @@ def tokenizer():
 
 def record_rows(rows, tokenizer):
     out, start = [], 0
-    for doc, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode())):
-        ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+    coded = [(d, np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 2], "<u4")) for d, t in rows]
+    # Of rows with one id those with less tokens' bytes first; without the end id, which would take part in the order.
+    for doc, ids in sorted(coded, key=lambda r: (r[0] is not None, r[0] or 0, r[1][:-1].astype("<u2").tobytes())):
         out.append((doc, start, len(ids), zlib.crc32(ids.tobytes())))
         start += len(ids)
     return out
@@ -106,6 +108,20 @@ def test_records_edge_cases(spark, tokenizer):
     assert records.round_trip(df.where("false")).count() == 0
 
 
+def test_records_over_many_files(spark, tokenizer):
+    """Files of a few hundred bytes; one id and no id hold a third of the rows each."""
+    r = random.Random(2)
+    rows = [(r.choice([None, 7, i]), f"text {i} " * r.randrange(5)) for i in range(-100, 200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    manifest = records.write_records(df, f"{shared_dir(spark)}/records", file_bytes=400)
+    files = manifest.collect()
+    assert len(files) > 10 and max(f.docs for f in files) < 60 and sum(f.docs for f in files) == len(rows)
+    own = sorted((tuple(r) for r in records.record_digests(manifest).collect()), key=lambda r: r[1])
+    assert [(d is not None, d or 0) for d, *_ in own] == sorted((d is not None, d or 0) for d, *_ in own)
+    assert [s for _, s, *_ in own] == [sum(n for _, _, n, _ in own[:i]) for i in range(len(own))]
+    assert sorted(((d, n, c) for d, _, n, c in own), key=str) == sorted(((d, n, c) for d, _, n, c in record_rows(rows, tokenizer)), key=str)
+
+
 def test_shuffled_reads_and_ids(spark, tmp_path):
     docs = spark.createDataFrame([(i, f"text number {i}") for i in range(50)], "doc_id long, text string")
     m = records.write_records(docs, f"file://{tmp_path}/r").collect()

@@ -102,26 +102,61 @@ def read_shuffled(uri: str, index_uri: str, seed: int) -> Iterator[tuple[int | N
             yield _parsed(payload, dtype)
 
 
-def write_records(docs: DataFrame, folder: str, end_id: int = 2, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _bounds(rows: DataFrame, file_bytes: int) -> tuple[np.ndarray, int]:
+    """(the last id of each file but the last, files of null ids before them), for files of about so many bytes of text.
+
+    Ids of equal shares of the rows; an id that holds more than a share is there as often as it needs files.
+    """
+    null = F.col("__id").isNull()
+    size = F.coalesce(F.octet_length("__text"), F.lit(0)).cast("long") + 16
+    total = rows.agg(F.coalesce(F.sum(F.when(null, size)), F.lit(0)).alias("none"), F.coalesce(F.sum(F.when(~null, size)), F.lit(0)).alias("some")).first()
+    files = -(-total["some"] // file_bytes)
+    share = [i / files for i in range(1, files)]
+    bounds = rows.where(~null).select("__id").approxQuantile("__id", share, max(1 / (4 * files), 1e-4)) if share else []
+    return np.array(bounds, np.int64), -(-total["none"] // file_bytes)
+
+
+def _places(ids, tokens, bounds: np.ndarray, none: int) -> np.ndarray:
+    """The file of each row (Arrow columns of ids and tokens); what one id or no id leaves open its tokens' checksum decides."""
+    there = ids.is_valid().to_numpy(zero_copy_only=False)
+    values = ids.fill_null(0).to_numpy()
+    low, high = np.searchsorted(bounds, values, "left"), np.searchsorted(bounds, values, "right")
+    ways = np.where(there, np.maximum(high - low, 1), max(none, 1))
+    mixed = np.array([zlib.crc32(t) for t in tokens], np.int64)
+    return np.where(there, none + low, 0) + mixed % ways
+
+
+def write_records(docs: DataFrame, folder: str, end_id: int = 2, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text", file_bytes: int = 1 << 25) -> DataFrame:
     """Writes the files; returns the manifest, a table (part, uri, index_uri, docs, ids, bytes).
 
     Files, and records within them, ascend by document id (null ids first; of
-    rows with one id the smaller text first). Only files of tasks that ended well
-    are named by the manifest.
+    rows with one id those with less tokens' bytes first, within a file). Texts are
+    encoded where they are read; token ids, not texts, are shuffled to the files. Only
+    files of tasks that ended well are named by the manifest. file_bytes is the size of a file's texts.
     """
     with open(tokenizer or tokenizer_file("byte_bpe_50k.json"), encoding="utf-8") as f:
         shared = docs.sparkSession.sparkContext.broadcast(f.read())
+    rows = docs.select(F.col(id_col).cast("bigint").alias("__id"), F.col(text_col).cast("string").alias("__text"))
+    bounds, none = _bounds(rows, file_bytes)
+
+    def encoded(batches):
+        import pyarrow as pa
+
+        enc = encoder(shared.value)
+        for b in batches:
+            tokens = list(enc.encode(b.column(1).to_pylist()))
+            part = _places(b.column(0), tokens, bounds, none)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(tokens, pa.binary()), pa.array(part, pa.int32())], names=["id", "tokens", "part"])
 
     def run(batches):
         import pyarrow as pa
         from pyspark import TaskContext
 
-        part, enc = TaskContext.get().partitionId(), encoder(shared.value)
+        part, dtype = TaskContext.get().partitionId(), encoder(shared.value).dtype
         out, index, count, total, buffer = None, [], 0, 0, []
-        end = np.array([end_id], enc.dtype).tobytes()
-        width = enc.dtype.itemsize
+        end, width = np.array([end_id], dtype).tobytes(), dtype.itemsize
         for b in batches:
-            for doc, ids in zip(b.column(0).to_pylist(), enc.encode(b.column(1).to_pylist())):
+            for doc, ids in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if out is None:
                     out = SharedFile(folder, f"part-{part:06d}.records")
                     buffer, pending = [MAGIC, bytes([width])], len(MAGIC) + 1
@@ -140,8 +175,8 @@ def write_records(docs: DataFrame, folder: str, end_id: int = 2, tokenizer: str
         row = {"part": part, "uri": out.commit(), "index_uri": offsets.commit(), "docs": count, "ids": total, "bytes": out.size}
         yield pa.RecordBatch.from_pylist([row], schema=pa.schema([("part", pa.int32()), ("uri", pa.string()), ("index_uri", pa.string()), ("docs", pa.int64()), ("ids", pa.int64()), ("bytes", pa.int64())]))
 
-    rows = docs.select(F.col(id_col).cast("bigint").alias("__id"), F.col(text_col).cast("string").alias("__text"))
-    ordered = rows.repartitionByRange("__id").sortWithinPartitions("__id", "__text")
+    tokens = rows.mapInArrow(encoded, "id bigint, tokens binary, part int")
+    ordered = tokens.repartitionById(len(bounds) + 1 + none, F.col("part")).sortWithinPartitions("id", "tokens").select("id", "tokens")
     return written(ordered.mapInArrow(run, "part int, uri string, index_uri string, docs bigint, ids bigint, bytes bigint"), "manifest")
 
 
