@@ -6,7 +6,7 @@ import zlib
 import numpy as np
 import pytest
 
-from tidemark.llm import quality, toxicity
+from tidemark.llm import _learning, quality, toxicity
 
 SF = "/root/testdata/sf0.1"
 INSULTS = ["dreadfool", "nitwitted", "scoundrelly"]
@@ -68,11 +68,37 @@ def test_toxicity_on_documents_held_out(spark):
     own = toxicity.toxicity(docs, labels).join(labels, "doc_id").collect()
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in own)
     held = [r for r in own if r.held_out]
-    # Some junk documents are labelled toxic without a word that tells it; nothing can be learnt from those.
-    told = [r for r in held if r.toxic and r["quality"]]
-    caught = sum(r.predicted for r in told) / len(told)
+    toxic = [r for r in held if r.toxic]
+    caught = sum(r.predicted for r in toxic) / len(toxic)
     false = sum(r.predicted for r in held if not r.toxic) / sum(1 - r.toxic for r in held)
-    assert caught >= 0.95 and false <= 0.01
+    assert len(toxic) > 100 and caught >= 0.85 and false <= 0.01
+    # Some junk documents are labelled toxic without a word that tells it; nothing can be learnt from those.
+    told = [r for r in toxic if r["quality"]]
+    assert sum(r.predicted for r in told) / len(told) >= 0.95
+
+
+def test_toxicity_scores_against_brute_force(spark):
+    """Every document's score once more: the highest sum over a window of 16 words of all features' weights."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels)
+    assert model.weights and min(model.weights.values()) > 0
+    own = {r.doc_id: r.score for r in toxicity.toxicity(docs, labels).collect()}
+    for r in docs.collect():
+        words = "".join(c if c.isalpha() else " " for c in r.text.lower()).split()
+        best = 0.0
+        for i in range(0, len(words), 16):
+            window = set(words[i : i + 16])
+            best = max(best, sum(model.weights.get(w, 0) + sum(model.weights.get(f"{n} {w[:n]}", 0) for n in (4, 5, 6, 7) if len(w) >= n) for w in window))
+        assert abs(own[r.doc_id] - 1 / (1 + np.exp(-best - model.bias))) < 1e-9
+
+
+def test_a_sample_of_labelled_texts_is_bounded_in_bytes(spark):
+    rows = [(i, "word " * (400 if i % 2 else 4), "x") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sample = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, label int")
+    whole = _learning.labelled(docs, sample, max_bytes=10**9).collect()
+    few = _learning.labelled(docs, sample, max_bytes=40_000).collect()
+    assert len(whole) == 400 and 0 < sum(len(r.text) for r in few) < 80_000
 
 
 def test_quality_on_documents_held_out(spark):
@@ -124,3 +150,5 @@ def test_edge_cases(spark, operator, keep, label):
         assert [r.held_out for r in own if r.doc_id is None] == [None]
     assert operator(docs.where("false"), some).count() == 0
     assert keep(docs, none).columns == docs.columns
+    clash = docs.selectExpr("*", "1 as score_", "2 as label", "3 as __doc")
+    assert keep(clash, some).columns == clash.columns and keep(clash, some).count() == keep(docs, some).count()

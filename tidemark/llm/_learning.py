@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ._shared import written
+
 SLICES = 1 << 30
 
 
@@ -27,8 +29,17 @@ def sampled_labels(labels: DataFrame, label: str, fold: int, left_out: int, most
     return own.where(F.pmod(F.xxhash64(F.col(id_col), F.lit("sample")), F.lit(SLICES)) < limit)
 
 
-def labelled(docs: DataFrame, sample: DataFrame, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
-    """(text, label) of the sampled documents; the sample is bounded, so each executor gets all of it."""
+def labelled(docs: DataFrame, sample: DataFrame, text_col: str = "text", id_col: str = "doc_id", max_bytes: int | None = None) -> DataFrame:
+    """(text, label) of the sampled documents; the sample is bounded, so each executor gets all of it.
+
+    With max_bytes, of texts that are larger together a share by a hash is left
+    that has about that size: long documents don't widen the bound.
+    """
     few = F.broadcast(sample.select(F.col(id_col).alias("__id"), F.col("label").alias("__label")))
     got = docs.select(F.col(id_col).alias("__doc"), F.col(text_col).cast("string").alias("text"))
-    return got.join(few, F.col("__doc") == F.col("__id")).select("text", F.col("__label").alias("label"))
+    got = got.join(few, F.col("__doc") == F.col("__id")).select("__id", "text", F.col("__label").alias("label"))
+    if max_bytes is None:
+        return got.drop("__id")
+    got = written(got, "labelled")
+    total = got.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    return got.where(F.pmod(F.xxhash64("__id", F.lit("bytes")), F.lit(SLICES)) < int(min(1.0, max_bytes / max(total, 1)) * SLICES)).drop("__id")

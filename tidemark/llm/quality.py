@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._learning import labelled, sampled_labels
+from ._shared import free_name
 
 STATISTICS = [
     "log_chars", "log_words", "word_length", "longest_word", "distinct_words", "top_word", "adjacent_repeats",
@@ -180,6 +181,10 @@ def quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, fold: in
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, fold: int = 5, left_out: int = 0, max_per_class: int = 4000) -> DataFrame:
-    """The rows of docs that score threshold or more, with docs' columns."""
-    model = fit(docs, labels, fold, left_out, max_per_class)
-    return scored(docs, model, out="__quality").where(F.col("__quality") >= threshold).select(*docs.columns)
+    """The rows of docs that score threshold or more, with docs' columns, whatever their names.
+
+    A null text counts as empty and is scored so; repeated rows are scored
+    alike; rows without an id are scored too. An empty table gives an empty result.
+    """
+    model, name = fit(docs, labels, fold, left_out, max_per_class), free_name(docs, "score")
+    return scored(docs, model, out=name).where(F.col(name) >= threshold).select(*docs.columns)
