@@ -1,5 +1,6 @@
 """State machines: transitions, batch replay, and the same as streams."""
 
+import random
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
@@ -105,3 +106,25 @@ def test_publish_once_is_idempotent(spark, tmp_path):
     for _ in range(2):
         machines.publish_once(s, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination(120)
     assert spark.read.parquet(str(tmp_path / "out")).select(F.countDistinct("event_id"), F.count("*")).first()[:] == (6, 6)
+
+
+def test_null_and_nan_keys_keep_their_state(spark):
+    rows = [(k, i, T0 + timedelta(minutes=i), "failed", "a") for i, k in enumerate([None, 1, None, 1, None])]
+    for kind, extra in (("long", []), ("double", [(float("nan"), 10 + i, T0 + timedelta(minutes=i), "failed", "a") for i in range(3)])):
+        df = spark.createDataFrame([(None if k is None else k * 1.0 if kind == "double" else k, *rest) for k, *rest in rows] + extra, f"key {kind}, event_id long, ts timestamp, status string, signature string").repartition(3)
+        own = state.replay(df, ["key"], ["ts", "event_id"], f"key {kind}, event_id long, action string", state.incident_step).collect()
+        got = {r.event_id: r.action for r in own}
+        assert [got[i] for i in range(5)] == ["alert", "alert", "suppressed", "suppressed", "suppressed"]
+        assert [got[10 + i] for i in range(len(extra))] == ["alert", "suppressed", "suppressed"][: len(extra)]
+
+
+def test_retry_ledger_equals_the_machine(spark):
+    r = random.Random(1)
+    rows = [(r.choice([None, 1, 2, 3]), i, T0 + timedelta(minutes=r.randrange(60)), r.choice(["failed", "failed", "failed", "resolved", "other", None])) for i in range(300)]
+    df = spark.createDataFrame(rows, "key long, event_id long, ts timestamp, event string").repartition(4)
+    own = {x.event_id: (x.status, x.failures, x.next_retry) for x in state.retry_ledger(df, ["key"], ["ts", "event_id"]).collect()}
+    for k in (None, 1, 2, 3):
+        m = state.Retry()
+        for _, e, ts, event in sorted((x for x in rows if x[0] == k), key=lambda x: (x[2], x[1])):
+            m.step(ts, event)
+            assert own[e] == (m.status, m.failures, m.next_retry)

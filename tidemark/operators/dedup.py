@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import col
+from .tables import components, written
 
 
 def one_per_key(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
@@ -48,7 +45,7 @@ def numbered(df: DataFrame, order: str, name: str = "seq") -> DataFrame:
     the number of partitions, gives each its first number.
     """
     spark = df.sparkSession
-    rows = kept(df.repartitionByRange(order).sortWithinPartitions(order).withColumn("__part", F.spark_partition_id()).withColumn("__id", F.monotonically_increasing_id()))
+    rows = written(df.repartitionByRange(order).sortWithinPartitions(order).withColumn("__part", F.spark_partition_id()).withColumn("__id", F.monotonically_increasing_id()))
     counts = {r["__part"]: r["count"] for r in rows.groupBy("__part").count().collect()}
     total, firsts = 0, []
     for p in sorted(counts):
@@ -59,35 +56,16 @@ def numbered(df: DataFrame, order: str, name: str = "seq") -> DataFrame:
     return rows.join(F.broadcast(bases), "__part").withColumn(name, F.col("__first") + at + 1).drop("__part", "__id", "__first")
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """df as a table in the shared folder that spark.checkpoint.dir names (a temporary one where it is unset)."""
-    spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    base = base or os.path.join(tempfile.gettempdir(), "tidemark-shared")  # a local session without any setting
-    path = f"{base.rstrip('/')}/kept-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def identity_components(df: DataFrame, node: str, keys: list[str], max_rounds: int = 40) -> DataFrame:
+def identity_components(df: DataFrame, node: str, keys: list[str]) -> DataFrame:
     """(node, component): nodes that share any non-null key, transitively; the component is its smallest node.
 
-    Each round gives every key its nodes' smallest label and every node its
-    keys' smallest; both are aggregates that combine before the shuffle. A label
-    is then replaced by its own label, which halves the remaining distance.
+    Every key's nodes are linked to its smallest node, an aggregate that
+    combines before the shuffle; the links' components are the answer.
     """
-    links = kept(
-        df.select(F.col(node).alias("node"), F.explode(F.array_compact(F.array(*(F.concat(F.lit(f"{k}:"), col(k).cast("string")) for k in keys)))).alias("key")).distinct()
-    )
-    labels = kept(df.select(F.col(node).alias("node"), F.col(node).alias("label")).distinct())
-    for _ in range(max_rounds):
-        by_key = kept(links.join(labels, "node").groupBy("key").agg(F.min("label").alias("label")))
-        by_node = links.join(by_key, "key").groupBy("node").agg(F.min("label").alias("near"))
-        near = kept(labels.join(by_node, "node", "left").select("node", "label", F.least("label", F.coalesce("near", "label")).alias("near")))
-        jump = near.select(F.col("node").alias("near"), F.col("near").alias("far"))
-        after = kept(near.join(jump, "near", "left").select("node", "label", F.coalesce("far", "near").alias("new")))
-        changed = not after.where("new <> label").isEmpty()
-        labels = after.select("node", F.col("new").alias("label"))
-        if not changed:
-            return labels.withColumnRenamed("label", "component")
-    raise RuntimeError(f"the components didn't settle in {max_rounds} rounds")
+    own = F.explode(F.array_compact(F.array(*(F.concat(F.lit(f"{k}:"), col(k).cast("string")) for k in keys))))
+    held = written(df.select(F.col(node).alias("node"), own.alias("key")).distinct(), "keys")
+    least = held.groupBy("key").agg(F.min("node").alias("least"))
+    pairs = held.join(least, "key").where("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b"))
+    linked = written(components(pairs), "components")
+    nodes = df.select(F.col(node).alias("node")).distinct()
+    return nodes.join(linked, "node", "left").select("node", F.coalesce("label", "node").alias("component"))

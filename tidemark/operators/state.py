@@ -6,12 +6,14 @@ the batch replay and the stateful stream call them.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import asdict, dataclass
 from datetime import datetime, timedelta
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 TRANSIENT = ("busy", "waiting", "paused")
 
@@ -91,46 +93,65 @@ class Retry:
         return self.status
 
 
+def _comparable(key: tuple) -> tuple:
+    """A key that equals itself: nulls are None, and a number that is none is a text."""
+    return tuple("NaN" if isinstance(v, float) and v != v else v for v in key)
+
+
 def replay(events: DataFrame, keys: list[str], order: list[str], schema: str, step: Callable[[dict, dict | None], tuple[dict, dict | None]]) -> DataFrame:
     """Each key's events in order, step((event), state) giving an output row and the next state.
 
     Keys are shuffled and sorted, and each partition is read as a stream with the
     state of one key at a time; so a key of any length needs no more memory
-    than a batch.
+    than a batch. Null keys are one key, like any other.
     """
     columns = events.columns
+    output = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches):
+        import pyarrow as pa
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         at, state = None, None
         for b in batches:
             out = []
-            for row in b.itertuples(index=False):
+            for row in zip(*(c.to_pylist() for c in b.columns)):
                 event = dict(zip(columns, row))
-                key = tuple(event[k] for k in keys)
+                key = _comparable(tuple(event[k] for k in keys))
                 if key != at:
                     at, state = key, None
                 result, state = step(event, state)
                 out.append(result)
             if out:
-                yield pd.DataFrame(out)
+                yield pa.RecordBatch.from_pylist(out, schema=output)
 
-    return events.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(run, schema)
+    return events.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
+
+
+def retry_ledger(events: DataFrame, keys: list[str], order: list[str], most: int = 4, delays: tuple[int, ...] = (5, 10, 20)) -> DataFrame:
+    """events (ts, event, ...) with status, failures and next_retry after each: what Retry.step gives, by running sums.
+
+    Failures count from the last resolution on; any other event changes nothing.
+    """
+    own = Window.partitionBy(*keys).orderBy(*order)
+    since = Window.partitionBy(*keys, "__resolved").orderBy(*order)
+    failed = F.coalesce(F.col("event") == "failed", F.lit(False))
+    rows = events.withColumn("__resolved", F.sum(F.coalesce(F.col("event") == "resolved", F.lit(False)).cast("int")).over(own))
+    rows = rows.withColumn("failures", F.sum(failed.cast("int")).over(since).cast("int")).withColumn("__last", F.last(F.when(failed, F.col("ts")), ignorenulls=True).over(since))
+    n = F.col("failures")
+    status = F.when(n >= most, "retry_exhausted").when(n > 0, "retry_pending").when(F.col("__resolved") > 0, "resolved").otherwise("none")
+    delay = F.element_at(F.array(*map(F.lit, delays)), F.least(F.greatest(n, F.lit(1)), F.lit(len(delays))))
+    due = F.when((n > 0) & (n < most), F.col("__last") + F.make_dt_interval(mins=delay))
+    return rows.withColumn("status", status).withColumn("next_retry", due).drop("__resolved", "__last")
 
 
 def incident_step(event: dict, state: dict | None) -> tuple[dict, dict]:
     """For replay: events of (key, event_id, ts, status, signature)."""
     s = Incident(**state) if state else Incident()
-    action = s.step(pd.Timestamp(event["ts"]).to_pydatetime(), event["status"], event["signature"])
+    action = s.step(event["ts"], event["status"], event["signature"])
     return {"key": event["key"], "event_id": event["event_id"], "action": action}, asdict(s)
 
 
 def outbox_step(event: dict, state: dict | None) -> tuple[dict, dict]:
     s = Outbox(**state) if state else Outbox()
-    s.step(pd.Timestamp(event["ts"]).to_pydatetime(), event["event"])
+    s.step(event["ts"], event["event"])
     return {"key": event["key"], "event_id": event["event_id"], "status": s.status, "attempts": s.attempts, "next_attempt": s.next_attempt}, asdict(s)
-
-
-def retry_step(event: dict, state: dict | None) -> tuple[dict, dict]:
-    s = Retry(**state) if state else Retry()
-    s.step(pd.Timestamp(event["ts"]).to_pydatetime(), event["event"])
-    return {"key": event["key"], "event_id": event["event_id"], "status": s.status, "failures": s.failures, "next_retry": s.next_retry}, asdict(s)

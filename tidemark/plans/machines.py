@@ -98,12 +98,13 @@ def outbox_replay(spark, sf):
 @query("""WITH e AS (SELECT user_id, event_id, ts, event_type = 'purchase' AS done FROM events WHERE event_type IN ('error', 'purchase')),
     g AS (SELECT *, sum(CASE WHEN done THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS island FROM e),
     n AS (SELECT *, sum(CASE WHEN done THEN 0 ELSE 1 END) OVER (PARTITION BY user_id, island ORDER BY ts, event_id) AS failures FROM g)
-    SELECT event_id, CAST(failures AS INTEGER) AS failures, CASE WHEN done THEN 'resolved' WHEN failures >= 4 THEN 'retry_exhausted' ELSE 'retry_pending' END AS status FROM n""")
+    SELECT event_id, CAST(failures AS INTEGER) AS failures, CASE WHEN done THEN 'resolved' WHEN failures >= 4 THEN 'retry_exhausted' ELSE 'retry_pending' END AS status,
+        CASE WHEN NOT done AND failures < 4 THEN strftime(ts + to_minutes(CASE failures WHEN 1 THEN 5 WHEN 2 THEN 10 ELSE 20 END), '%Y-%m-%d %H:%M:%S') END AS next_retry FROM n""")
 def retry_schedule(spark, sf):
     own = table(spark, sf, "events").where("event_type in ('error', 'purchase')")
     own = own.select(F.col("user_id").cast("string").alias("key"), "event_id", F.col("ts").cast("timestamp").alias("ts"), F.when(F.col("event_type") == "purchase", "resolved").otherwise("failed").alias("event"))
-    out = state.replay(own, ["key"], ["ts", "event_id"], "key string, event_id bigint, status string, failures int, next_retry timestamp", state.retry_step)
-    return out.select("event_id", "failures", "status")
+    out = state.retry_ledger(own, ["key"], ["ts", "event_id"])
+    return out.select("event_id", "failures", "status", F.date_format("next_retry", "yyyy-MM-dd HH:mm:ss").alias("next_retry"))
 
 
 @query("""WITH g AS (SELECT user_id, ts, event_id, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 6 HOUR THEN 0 ELSE 1 END AS new FROM events),
