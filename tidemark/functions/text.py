@@ -300,3 +300,14 @@ def ordered_case(text: Column, rules: list[tuple[list[str], str]], default: str
             hit = hit | F.contains(text, F.lit(w))
         out = F.when(hit, value) if out is None else out.when(hit, value)
     return out.otherwise(F.lit(default))
+
+
+# What an error of a page's size says.
+GEOMETRY_ERRORS = ["image too large", "image dimensions are too large", "image size exceeds", "maximum image dimension", "unsupported_page_geometry", "_encode_tile", "pix too large"]
+
+
+def is_geometry_error(message: Column | str) -> Column:
+    low, hit = F.lower(F.coalesce(col(message), F.lit(""))), F.lit(False)
+    for token in GEOMETRY_ERRORS:
+        hit = hit | F.contains(low, F.lit(token))
+    return hit

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.keywords import contains, escaped, first_index, mentions
-from ..functions.text import col
+from ..functions.text import col, search_text
 
 
 def in_blocks(queries: DataFrame, key: str, size: int) -> DataFrame:
@@ -116,3 +118,53 @@ def rerank_score(weighted: list[tuple[int, str]], terms: list[str], focus: list[
         for t in focus_terms:
             total = total + F.when(contains(c, t), w).otherwise(0)
     return total
+
+
+# The columns that a search looks through, in the index's order.
+INDEXED = ["title", "broker", "companies", "themes", "subthemes", "core_conclusions", "core_questions_answers", "summary_text"]
+
+
+def index_rows(reports: DataFrame, key: str, keep: list[str] = ()) -> DataFrame:
+    """(key, the indexed columns, the columns to keep, doc_len): texts cleaned of markup, lists joined by spaces, missing columns empty; doc_len counts trigrams."""
+    out = []
+    for c in INDEXED:
+        if c not in reports.columns:
+            value = F.lit("")
+        elif reports.schema[c].dataType.simpleString().startswith("array"):
+            value = F.array_join(F.coalesce(F.col(c), F.array().cast("array<string>")), " ")
+        else:
+            value = search_text(F.coalesce(F.col(c).cast("string"), F.lit("")))
+        out.append(value.alias(c))
+    rows = reports.select(key, *out, *keep)
+    return rows.withColumn("doc_len", document_length(INDEXED))
+
+
+def rebuild_index(reports: DataFrame, key: str, path: str, keep: list[str] = ()) -> int:
+    """Replaces the index at the path, a Parquet table that later searches read instead of the notes; returns its rows."""
+    index_rows(reports, key, keep).write.mode("overwrite").parquet(path)
+    return reports.sparkSession.read.parquet(path).count()
+
+
+def parsed(query: str) -> tuple[list[str], bool] | None:
+    """(terms, whether all must occur) of a query of words and quoted phrases, joined by AND (or nothing) or by OR throughout; None if it is malformed."""
+    tokens, rest = [], query.strip()
+    while rest:
+        m = re.match(r'"((?:[^"]|"")*)"|([^\s"():*^]+)', rest)
+        if not m:
+            return None
+        tokens.append((m[1].replace('""', '"'), False) if m[1] is not None else (m[2], m[2] in ("AND", "OR", "NOT")))
+        rest = rest[m.end() :].lstrip()
+    operators = {t for t, is_operator in tokens if is_operator}
+    turns = [is_operator for _, is_operator in tokens]
+    ends_badly = not tokens or turns[0] or turns[-1] or any(a and b for a, b in zip(turns, turns[1:]))
+    if ends_badly or "NOT" in operators or len(operators) > 1:
+        return None
+    return [t for t, is_operator in tokens if not is_operator], "OR" not in operators
+
+
+def matched(docs: DataFrame, key: str, columns: list[str], query: str) -> DataFrame:
+    """bm25 of a written query; a malformed one finds nothing and is no error."""
+    terms = parsed(query)
+    if terms is None:
+        return docs.select(key, F.lit(0.0).alias("bm25")).where(F.lit(False))
+    return bm25(docs, key, columns, terms[0], terms[1])

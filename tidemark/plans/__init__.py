@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def _modules():
-    from . import facets, files, identity, joins, machines, metadata, search, text
+    from . import editing, facets, files, identity, joins, machines, metadata, results, search, text
 
-    return [text, metadata, identity, joins, search, facets, files, machines]
+    return [text, metadata, identity, joins, search, facets, files, machines, results, editing]
 
 
 def queries():

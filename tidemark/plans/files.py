@@ -32,14 +32,6 @@ def jsonl_permissive(spark, sf):
     return own.where("j.k is not null").select("event_id", "j.k")
 
 
-@query("SELECT CASE WHEN event_id % 10 = 0 THEN 'invalid_json' WHEN event_type = 'error' THEN 'business_error' WHEN CAST(json_extract_string(props, '$.k') AS BIGINT) > 90 THEN 'bad_shape' ELSE 'ok' END AS reason, count(*) AS n FROM events GROUP BY reason")
-def payload_error_case(spark, sf):
-    payload = F.when(F.col("event_id") % 10 == 0, F.lit("<html>")).otherwise(F.col("props"))
-    own = table(spark, sf, "events").withColumn("j", F.from_json(payload, "k bigint"))
-    reason = F.when(F.col("j.k").isNull(), "invalid_json").when(F.col("event_type") == "error", "business_error").when(F.col("j.k") > 90, "bad_shape").otherwise("ok")
-    return own.groupBy(reason.alias("reason")).agg(F.count("*").alias("n"))
-
-
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
 def json_shape_coalesce(spark, sf):
     nested = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit('{"result": '), F.col("props"), F.lit("}"))).otherwise(F.col("props"))

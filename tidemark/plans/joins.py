@@ -54,13 +54,6 @@ def event_backfill_join(spark, sf):
     return table(spark, sf, "events").join(known, "user_id", "left").select("event_id", F.coalesce("c_name", F.concat(F.lit("user "), F.col("user_id").cast("string"))).alias("name"), F.coalesce("c_mktsegment", F.lit("none")).alias("segment"))
 
 
-@query("SELECT CASE WHEN o_orderstatus || lower(o_orderpriority) LIKE 'F%' THEN 'published' WHEN o_orderstatus || lower(o_orderpriority) LIKE 'O1%' THEN 'summary' WHEN o_orderstatus = 'O' THEN 'text_extract' ELSE 'scan' END AS stage, count(*) AS orders FROM orders GROUP BY stage")
-def status_stage_case(spark, sf):
-    status = F.concat("o_orderstatus", F.lower("o_orderpriority"))
-    stage = F.when(status.startswith("F"), "published").when(status.startswith("O1"), "summary").when(status.startswith("O"), "text_extract").otherwise("scan")
-    return table(spark, sf, "orders").groupBy(stage.alias("stage")).agg(F.count("*").alias("orders"))
-
-
 @query("SELECT l_orderkey, l_linenumber, l_partkey, 'part ' || CAST(l_partkey AS VARCHAR) AS filename, coalesce(p_name, 'unknown') AS title FROM lineitem LEFT JOIN part ON p_partkey = l_partkey")
 def batch_to_report_rows(spark, sf):
     lines = table(spark, sf, "lineitem")
@@ -70,19 +63,6 @@ def batch_to_report_rows(spark, sf):
     return named.select("l_orderkey", "l_linenumber", "l_partkey", F.concat(F.lit("part "), F.col("l_partkey").cast("string")).alias("filename"), F.coalesce("p_name", F.lit("unknown")).alias("title"))
 
 
-@query("SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'url/' || CAST(o_orderkey AS VARCHAR) WHEN 'O' THEN coalesce(nullif(CASE WHEN o_custkey % 2 = 0 THEN 'summary' ELSE '' END, ''), 'text') ELSE 'source' END AS artifact FROM orders")
-def artifact_choice_case(spark, sf):
-    summary = F.when(F.col("o_custkey") % 2 == 0, "summary").otherwise("")
-    chosen = F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("url/"), F.col("o_orderkey").cast("string"))).when(F.col("o_orderstatus") == "O", I.first_of(summary, F.lit("text"))).otherwise("source")
-    return table(spark, sf, "orders").select("o_orderkey", chosen.alias("artifact"))
-
-
-@query("SELECT event_id, CASE WHEN value >= 50 THEN 'text_extract_failed' ELSE 'text_extracted' END AS event FROM events WHERE event_type IN ('error', 'view') AND (event_type = 'error' OR value < 20)")
-def text_extract_event_filter(spark, sf):
-    rows = table(spark, sf, "events").where("event_type in ('error', 'view') and (event_type = 'error' or value < 20)")
-    return rows.select("event_id", F.when(F.col("value") >= 50, "text_extract_failed").otherwise("text_extracted").alias("event"))
-
-
 @query("SELECT l_orderkey AS batch, count(*) AS files, strftime(max(l_shipdate), '%Y-%m-%d') AS latest, string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY l_shipdate, l_linenumber, l_partkey) AS parts FROM lineitem GROUP BY l_orderkey")
 def batch_build_ordered(spark, sf):
     rows = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("batch"))
@@ -224,12 +204,6 @@ def state_before_after(spark, sf):
     return ids.select("user_id", "before", "after", F.when(F.col("before").isNull(), "new").when(F.col("after") > F.col("before"), "advanced").otherwise("unchanged").alias("outcome"))
 
 
-@query("SELECT event_id, CASE WHEN user_id % 5 = event_id % 5 AND event_type <> 'error' THEN event_type ELSE 'failed' END AS result FROM events")
-def stale_replace_case(spark, sf):
-    current = (F.col("user_id") % 5 == F.col("event_id") % 5) & (F.col("event_type") != "error")
-    return table(spark, sf, "events").select("event_id", F.when(current, F.col("event_type")).otherwise("failed").alias("result"))
-
-
 REASONS = [("error", "download_failed"), ("click", "waiting"), ("view", "no_new_files")]
 
 
@@ -240,30 +214,6 @@ def reason_map_join(spark, sf):
     return counts.join(map_, "event_type", "left").select("event_type", F.coalesce("core", F.concat(F.lit("unknown:"), "event_type")).alias("core"), "n")
 
 
-@query("SELECT CASE WHEN event_id % 128 = 124 THEN 'timeout' WHEN event_id % 128 = 9 THEN 'killed' WHEN event_type = 'error' AND value > 30 THEN 'failed' WHEN event_type = 'error' THEN 'warning' ELSE 'ok' END AS reason, count(*) AS n FROM events GROUP BY reason")
-def reason_derive_case(spark, sf):
-    code = F.col("event_id") % 128
-    bad = F.col("event_type") == "error"
-    reason = F.when(code == 124, "timeout").when(code == 9, "killed").when(bad & (F.col("value") > 30), "failed").when(bad, "warning").otherwise("ok")
-    return table(spark, sf, "events").groupBy(reason.alias("reason")).agg(F.count("*").alias("n"))
-
-
-@query("""WITH e AS (SELECT l_orderkey AS k, count(*) AS n, count(DISTINCT l_linenumber) AS d FROM lineitem GROUP BY l_orderkey)
-    SELECT o_orderkey, CASE WHEN n IS NULL THEN 'missing' WHEN d < n THEN 'duplicate' ELSE 'valid' END AS verdict FROM orders LEFT JOIN e ON k = o_orderkey""")
-def summary_validate(spark, sf):
-    each = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber").count()
-    own = each.groupBy("o_orderkey").agg(F.max("count").alias("most"))
-    return table(spark, sf, "orders").select("o_orderkey").join(own, "o_orderkey", "left").select("o_orderkey", F.when(F.col("most").isNull(), "missing").when(F.col("most") > 1, "duplicate").otherwise("valid").alias("verdict"))
-
-
-@query("SELECT event_id, CASE WHEN value < 10 THEN 'page_geometry' WHEN value < 40 THEN 'parse_failure' ELSE 'unknown' END AS diagnosis, CASE WHEN value < 10 THEN 'split the file' WHEN value < 40 THEN 'repair the file' ELSE 'review by hand' END AS next_step FROM events WHERE event_type = 'error'")
-def quarantine_case(spark, sf):
-    v = F.col("value")
-    return table(spark, sf, "events").where("event_type = 'error'").select(
-        "event_id", F.when(v < 10, "page_geometry").when(v < 40, "parse_failure").otherwise("unknown").alias("diagnosis"), F.when(v < 10, "split the file").when(v < 40, "repair the file").otherwise("review by hand").alias("next_step")
-    )
-
-
 @query("""WITH o AS (SELECT user_id, min(ts) AS first_at, count(*) AS n FROM events WHERE event_type = 'error' AND ts < TIMESTAMP '2024-01-20' GROUP BY user_id),
     w AS (SELECT user_id, max(ts) AS last_at, count(*) AS n FROM events WHERE event_type = 'error' AND ts >= TIMESTAMP '2024-01-20' AND value > 5 GROUP BY user_id)
     SELECT coalesce(o.user_id, w.user_id) AS user_id, strftime(coalesce(o.first_at, w.last_at), '%Y-%m-%d %H:%M:%S') AS first_at, coalesce(o.n, 0) + coalesce(w.n, 0) AS failures FROM o FULL JOIN w ON o.user_id = w.user_id""")
@@ -288,14 +238,6 @@ def guidance_lookup_default(spark, sf):
     return table(spark, sf, "events").join(inline(spark, "event_type, advice", GUIDANCE), "event_type", "left").select("event_id", F.coalesce("advice", F.lit("wait for the next run")).alias("advice"))
 
 
-@query("SELECT user_id, CASE WHEN user_id % 4 = 0 THEN 'temporary,' || string_agg(DISTINCT event_type, ',' ORDER BY event_type) FILTER (event_type <> 'view') ELSE string_agg(DISTINCT event_type, ',' ORDER BY event_type) END AS focus FROM events GROUP BY user_id")
-def overlay_case(spark, sf):
-    kinds = F.array_sort(F.collect_set("event_type"))
-    rows = table(spark, sf, "events").groupBy("user_id").agg(kinds.alias("base"))
-    own = F.concat(F.array(F.lit("temporary")), F.array_except("base", F.array(F.lit("view"))))
-    return rows.select("user_id", F.array_join(F.when(F.col("user_id") % 4 == 0, own).otherwise(F.col("base")), ",").alias("focus"))
-
-
 @query("SELECT DISTINCT l_partkey AS page, l_suppkey AS target FROM lineitem WHERE l_returnflag = 'N' EXCEPT SELECT l_partkey, l_suppkey FROM lineitem WHERE l_returnflag = 'R'")
 def incremental_link_anti(spark, sf):
     edges = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("page"), F.col("l_suppkey").alias("target"), "l_returnflag")
