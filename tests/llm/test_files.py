@@ -75,6 +75,15 @@ def test_damaged_archives_are_told(tmp_path, harm):
         list(warc.read_archive(str(path)))
 
 
+def test_a_revisit_without_its_response_is_told(spark):
+    schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
+    good = [(1, 5, "A", "revisit", 3), (3, 5, "A", "response", None), (2, 0, "B", "response", None), (None, 5, "A", "revisit", 3)]
+    assert sorted(map(tuple, warc.checked_revisits(spark.createDataFrame(good, schema)).collect()), key=str) == sorted(good, key=str)
+    for bad in ((1, 5, "A", "revisit", 2), (1, 5, "C", "revisit", 3), (1, 6, "A", "revisit", 3), (1, 5, "A", "revisit", None)):
+        with pytest.raises(Exception, match="no response for the revisit of page 1"):
+            warc.checked_revisits(spark.createDataFrame([bad, *good[1:]], schema)).collect()
+
+
 @pytest.fixture(scope="module")
 def tokenizer():
     t = Tokenizer.from_file(tokenizer_file("byte_bpe_50k.json"))

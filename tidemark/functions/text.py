@@ -228,6 +228,7 @@ def repeated_ratios(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
     return rows.select(*keep, share(repeats(F.col("__long")), F.col("__long")).alias("repeated_ratio"), share(repeats(F.col("__body")), F.col("__body")).alias("repeated_body_ratio"))
 
 
+# The thresholds of the gate.
 def acceptable() -> Column:
     """The clean-text gate, on the columns of quality()."""
     return F.expr(

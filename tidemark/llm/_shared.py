@@ -1,66 +1,16 @@
-"""The folder that the driver and all executors share, and tables written there."""
+"""Files and tables in the folder that the driver and all executors share."""
 
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 
+from ..operators.tables import components, dropped, path_of, shared_dir, written
 
-def shared_dir(spark: SparkSession) -> str:
-    """URI of a new folder below spark.checkpoint.dir, in this application's own folder there.
-
-    The setting is the cluster's. Where it is unset a temporary folder takes its
-    place if the master is local, as in a test; on a cluster, whose machines
-    don't share one, that is an error.
-    """
-    context = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not base:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-"))
-        base = context.getCheckpointDir()
-    return f"{base.rstrip('/')}/tidemark-{context.applicationId}/{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str = "table") -> DataFrame:
-    """df written once as Parquet in the shared folder and read again.
-
-    This cuts the lineage, survives lost executors and gives later joins the
-    real size of the table. path_of tells where it is; dropped deletes it, and
-    delete_tables all that this application wrote.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out.__dict__["_written_to"] = path
-    return out
-
-
-def path_of(table: DataFrame) -> str:
-    """Where written put the table."""
-    return table.__dict__["_written_to"]
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-
-
-def dropped(*tables: DataFrame) -> None:
-    """Deletes tables of written that nothing reads any more."""
-    for t in tables:
-        _delete(t.sparkSession, path_of(t).rsplit("/", 1)[0])
-
-
-def delete_tables(spark: SparkSession) -> None:
-    """Deletes everything that this application wrote to the shared folder; for its end, when no result is read any more."""
-    _delete(spark, shared_dir(spark).rsplit("/", 1)[0])
+__all__ = ["SharedFile", "components", "dropped", "filesystem", "free_name", "one_file_a_task", "open_input", "path_of", "shared_dir", "tokenizer_file", "written"]
 
 
 def free_name(df: DataFrame, name: str) -> str:

@@ -221,6 +221,15 @@ def read_archives(manifest: DataFrame, keep_payload: bool = False) -> DataFrame:
     return one_file_a_task(manifest.select("uri", "records"), "uri").mapInArrow(run, kinds + ", payload binary" * keep_payload)
 
 
+def checked_revisits(records: DataFrame) -> DataFrame:
+    """records (as read, a table), of which every revisit is held against the response that it refers to: one of that page, digest and size must be there."""
+    there = records.where("record_type = 'response'").select(F.col("page_id").alias("refers_to"), "payload_digest", "payload_bytes").distinct().withColumn("__there", F.lit(True))
+    rows = records.join(there, ["refers_to", "payload_digest", "payload_bytes"], "left")
+    lost = F.raise_error(F.concat(F.lit("CorruptArchive: no response for the revisit of page "), F.coalesce(F.col("page_id").cast("string"), F.lit("null"))))
+    kind = F.when((F.col("record_type") == "revisit") & F.col("__there").isNull(), lost.cast("string")).otherwise(F.col("record_type"))
+    return rows.withColumn("record_type", kind).select(*records.columns)
+
+
 def round_trip(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of every row of pages, read from archives written below the shared folder.
 
@@ -228,7 +237,7 @@ def round_trip(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
     target. Rows with a null page id never hold a payload for others; rows
     that repeat the largest page id of equal payloads are all responses. An
     empty table writes nothing and gives an empty result. Other columns are
-    ignored.
+    ignored. A revisit whose response isn't in the archives is an error.
     """
     manifest = write_archives(pages, f"{shared_dir(pages.sparkSession)}/archives", min_revisit_bytes)
-    return read_archives(manifest).drop("url")
+    return checked_revisits(written(read_archives(manifest).drop("url"), "records"))

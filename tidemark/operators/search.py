@@ -72,6 +72,7 @@ def recall(docs: DataFrame, key: str, columns: list[str], primary: list[str], fa
     return both.groupBy(key).agg(F.min(F.struct("source", "bm25")).alias("__b")).select(key, "__b.source", "__b.bm25")
 
 
+# The weights and limits of the three scores below.
 def composite_score(title: str, body: str, tags: str, position: Column, recency: Column, terms: list[str], focus: str | None, query: str) -> Column:
     """Position up to 18, recency (a column), focus 35/18/8 or tag mentions up to 20, title up to 30, body up to 24, whole query in the title 14."""
     score = F.greatest(F.lit(0.0), F.lit(18.0) - position * 0.3) + recency
