@@ -312,3 +312,9 @@ def is_geometry_error(message: Column | str) -> Column:
     for token in GEOMETRY_ERRORS:
         hit = hit | F.contains(low, F.lit(token))
     return hit
+
+
+def is_json(text: Column | str) -> Column:
+    """Whether the whole text is one JSON value; the parser alone ignores what follows a value, so the text must also fit into a list and into an object."""
+    text = col(text)
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))).isNotNull() & F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}"))).isNotNull() & (F.btrim(text, F.lit(WHITE)) != "")

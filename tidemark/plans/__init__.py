@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def _modules():
-    from . import editing, facets, files, identity, joins, machines, metadata, results, search, text
+    from . import answers, editing, facets, files, identity, joins, machines, metadata, results, search, text
 
-    return [text, metadata, identity, joins, search, facets, files, machines, results, editing]
+    return [text, metadata, identity, joins, search, facets, files, machines, results, editing, answers]
 
 
 def queries():

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.identity import blank, first_of
 from ..functions.keywords import escaped
-from ..functions.text import WHITE, col
+from ..functions.text import WHITE, col, is_json
 
 
 def accepted(path: Column | str, extension: str = ".pdf") -> Column:
@@ -87,7 +87,7 @@ def render_notes(df: DataFrame, keys: list[str], body: str) -> DataFrame:
 def payload_reason(ok: Column | str, status: Column | str, text: Column | str) -> Column:
     """Why an API's answer can't be used, null if it can: its status, no JSON object, an error code, or topics of another shape."""
     text = F.coalesce(blank(text), F.lit("{}"))
-    data = F.when(F.try_parse_json(text).isNotNull() & F.startswith(F.btrim(text), F.lit("{")), text)
+    data = F.when(is_json(text) & F.startswith(F.btrim(text), F.lit("{")), text)
     code = F.btrim(F.get_json_object(data, "$.code"))
     code = F.when(code.isin("", "0", "None", "null"), None).otherwise(code)
     failed = F.coalesce(F.get_json_object(data, "$.succeeded") == "false", F.lit(False)) | code.isNotNull()
@@ -117,7 +117,7 @@ def unwrapped(plan: Column | str) -> Column:
 def listed_paths(text: Column | str) -> Column:
     """The paths that a list names, in order, each once: a JSON list, an object with notes, note_paths or a batch's files, or plain lines."""
     text = F.btrim(F.coalesce(col(text), F.lit("")), F.lit(WHITE))
-    good = F.try_parse_json(text).isNotNull()
+    good = is_json(text)
     data = F.from_json(text, "notes array<string>, note_paths array<string>, files array<struct<obsidian_note_path: string>>")
     none = F.array().cast("array<string>")
     some = F.when(F.size(data["notes"]) > 0, data["notes"]).when(F.size(data["note_paths"]) > 0, data["note_paths"]).otherwise(F.transform(data["files"], lambda x: x["obsidian_note_path"]))
