@@ -156,3 +156,18 @@ def test_top_per_key(spark, most):
     assert sorted((r.k, r.v) for r in own) == sorted((k, v) for k in "ab" for v in range(5 - most, 5))
 
 
+
+
+def test_scratch_tables_are_told_and_dropped(spark):
+    from tidemark.operators import tables
+
+    with tables.scratch() as made:
+        a = tables.written(spark.range(3))
+        b = tables.written(a.where("id > 0"))
+    assert made == [a, b] and tables.path_of(a) != tables.path_of(b)
+    tables.dropped(a)
+    assert b.count() == 2
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(tables.path_of(a))
+    c = tables.written(spark.range(1))
+    assert len(made) == 2 and c.count() == 1

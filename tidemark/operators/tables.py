@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,9 +40,24 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.__dict__["_written_to"] = path
+    for made in _made:
+        made.append(out)
     return out
 
 
+_made: list[list[DataFrame]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[list[DataFrame]]:
+    """Within it, every table of written also goes to the list that it gives: once a step's result is a table, dropped can delete those it was made of."""
+    _made.append([])
+    try:
+        yield _made[-1]
+    finally:
+        _made.pop()
+
+
 def path_of(table: DataFrame) -> str:
     """Where written put the table."""
     return table.__dict__["_written_to"]
