@@ -27,7 +27,7 @@ def usable(table: DataFrame, id_col: str, vector_col: str, zero: bool) -> DataFr
     return written(rows.groupBy("vec_id").agg(F.min("v").alias("v")), "vectors")
 
 
-def _matrices(batches: list, least: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _matrices(batches: list) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(ids, vectors) by length of vector, from Arrow batches (vec_id, v); ids ascend."""
     by_length: dict[int, list] = {}
     for b in batches:
@@ -38,10 +38,9 @@ def _matrices(batches: list, least: int = 0) -> Iterator[tuple[np.ndarray, np.nd
             rows = np.flatnonzero(sizes == n)
             by_length.setdefault(int(n), []).append((ids[rows], flat[ends[rows][:, None] + np.arange(n)]))
     for n in sorted(by_length):
-        if n > least:
-            ids, vectors = (np.concatenate(x) for x in zip(*by_length[n]))
-            order = np.argsort(ids)
-            yield ids[order], vectors[order]
+        ids, vectors = (np.concatenate(x) for x in zip(*by_length[n]))
+        order = np.argsort(ids)
+        yield ids[order], vectors[order]
 
 
 def read_blocks(folder: str, rows: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:

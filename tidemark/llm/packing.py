@@ -17,7 +17,7 @@ from bisect import bisect_left, insort
 from collections import Counter, defaultdict
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -118,7 +118,6 @@ def tokenized_pieces(docs: DataFrame, definition: str, capacity: int, end_id: in
     shared = docs.sparkSession.sparkContext.broadcast(definition)
 
     def run(batches):
-        import pyarrow as pa
         from pyspark import TaskContext
 
         part, seen = TaskContext.get().partitionId(), Counter()
@@ -156,15 +155,15 @@ def placed(pieces: DataFrame, capacity: int) -> DataFrame:
     ranked = pieces.join(bases.hint("merge"), ["part", "length"]).withColumn("__rank", F.col("__base") + F.col("place"))
     shared = pieces.sparkSession.sparkContext.broadcast(table)
 
-    @F.pandas_udf("sequence_id bigint, offset bigint")
-    def place(length: pd.Series, rank: pd.Series) -> pd.DataFrame:
+    @F.arrow_udf("sequence_id bigint, offset bigint")
+    def place(length: pa.Array, rank: pa.Array) -> pa.Array:
         t = shared.value
         n, r = length.to_numpy(), rank.to_numpy()
         # Runs are sorted by length and first rank; both fit one key.
         wide = int(t[:, 1].max()) + int(r.max()) + 2
         i = np.searchsorted(t[:, 0] * wide + t[:, 1], n * wide + r, side="right") - 1
         beyond = r - t[i, 1]
-        return pd.DataFrame({"sequence_id": t[i, 3] + beyond // t[i, 5], "offset": t[i, 4] + beyond % t[i, 5] * n})
+        return pa.StructArray.from_arrays([pa.array(t[i, 3] + beyond // t[i, 5]), pa.array(t[i, 4] + beyond % t[i, 5] * n)], names=["sequence_id", "offset"])
 
     out = ranked.withColumn("__at", place("length", "__rank"))
     return out.select(*(c for c in pieces.columns if c not in ("part", "place")), F.col("__at.sequence_id").alias("sequence_id"), F.col("__at.offset").alias("offset"))

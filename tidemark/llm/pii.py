@@ -238,10 +238,9 @@ def _combined(kinds: list[str]) -> str:
     ASCII; looking at that first passes over the inside of words at once. No two
     patterns match at one place in different order by that.
     """
-    inside = [k for k in kinds if k == "ip"]
-    outside = [k for k in kinds if k != "ip"]
-    guarded = "(?<![A-Za-z0-9])(?:" + "|".join(f"({PATTERNS[k]})" for k in outside) + ")" if outside else ""
-    return "|".join(filter(None, [guarded, *(f"({PATTERNS[k]})" for k in inside)]))
+    guarded = "|".join(f"({PATTERNS[k]})" for k in kinds if k != "ip")
+    alone = [f"({PATTERNS[k]})" for k in kinds if k == "ip"]
+    return "|".join([f"(?<![A-Za-z0-9])(?:{guarded})"] * bool(guarded) + alone)
 
 
 def _in_order(kinds: list[str]) -> list[str]:

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -138,10 +138,10 @@ def boost(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 4, rate: f
 
 
 def _statistics_udf():
-    @F.pandas_udf("array<double>")
-    def measured(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<double>")
+    def measured(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            yield pd.Series([statistics(t) for t in texts])
+            yield pa.array([statistics(t.as_py()) for t in texts], pa.list_(pa.float64()))
 
     return measured
 
@@ -159,11 +159,11 @@ def scored(docs: DataFrame, model: Trees, text_col: str = "text", out: str = "sc
     """docs with the score of each whole text (null: empty) as the column out, which replaces one of that name."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            x = np.array([statistics(t) for t in texts]).reshape(len(texts), len(STATISTICS))
-            yield pd.Series(shared.value.scores(x), dtype="float64")
+            x = np.array([statistics(t.as_py()) for t in texts]).reshape(len(texts), len(STATISTICS))
+            yield pa.array(shared.value.scores(x), pa.float64())
 
     return docs.withColumn(out, score(F.col(text_col).cast("string")))
 

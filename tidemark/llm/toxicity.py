@@ -26,7 +26,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -75,7 +75,7 @@ class ToxicityModel:
     weights: dict[str, float]
     bias: float
 
-    def scorer(self, cache_size: int = 400_000):
+    def scorer(self, cache_size: int = 100_000):
         """A function from text to score; words' weights are kept for the next texts, up to a bound."""
         weights, known = self.weights, {}
 
@@ -231,11 +231,11 @@ def scored(docs: DataFrame, model: ToxicityModel, text_col: str = "text", out: s
     """docs with the score of each whole text (null: empty) as the column out, which replaces one of that name."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         f = shared.value.scorer()
         for texts in batches:
-            yield pd.Series([f(t) for t in texts], dtype="float64")
+            yield pa.array([f(t.as_py()) for t in texts], pa.float64())
 
     return docs.withColumn(out, score(F.col(text_col).cast("string")))
 
