@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import packing, pii, quality, simhash, toxicity
-from tidemark.llm._shared import written
+from tidemark.operators.tables import dropped, scratch, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,7 +71,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        with scratch() as made:
+            docs = written(stage(spark, docs, sf_dir), name)
+        # What the stage was made of, and its input, are done with.
+        dropped(*before, *made[:-1])
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
