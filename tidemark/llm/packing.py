@@ -18,10 +18,12 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.dataset as ds
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from ._shared import tokenizer_file, written
+from ._shared import filesystem, shared_dir, tokenizer_file, written
 from .tokens import encoder
 
 
@@ -131,7 +133,7 @@ def tokenized_pieces(docs: DataFrame, definition: str, capacity: int, end_id: in
                 piece = 0
                 while start < len(ids):
                     own = ids[start : start + size].tobytes()
-                    rows.append((doc, piece, start, size, zlib.crc32(own), *([own] if keep_ids else []), part, seen[size]))
+                    rows.append((doc, piece, start, size, zlib.crc32(own), *([ids[start : start + size].astype(enc.dtype).tobytes()] if keep_ids else []), part, seen[size]))
                     seen[size] += 1
                     start, size, piece = start + size, capacity, piece + 1
             if rows:
@@ -144,29 +146,60 @@ def tokenized_pieces(docs: DataFrame, definition: str, capacity: int, end_id: in
     return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(run, schema)
 
 
+def _bases(folder: str, part: int, capacity: int) -> np.ndarray:
+    """By length, how many pieces of it lie in the parts before this one."""
+    fs, path = filesystem(f"{folder}/part={part}")
+    own = ds.dataset(path, filesystem=fs, format="parquet").to_table(columns=["length", "base"])
+    out = np.zeros(capacity + 1, np.int64)
+    out[own.column("length").to_numpy()] = own.column("base").to_numpy()
+    return out
+
+
 def placed(pieces: DataFrame, capacity: int) -> DataFrame:
-    """pieces (a table with length, part, place) with sequence_id and offset instead of part and place."""
+    """pieces (a table with length, part, place) with sequence_id and offset instead of part and place.
+
+    Pieces stay where they are: the counts before each part, a row a length,
+    lie in a folder of its own, which the tasks that hold its pieces read.
+    """
     counts = written(pieces.groupBy("part", "length").agg(F.count("*").alias("n")), "counts")
     histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     table = np.array(sorted(plan(histogram, capacity)), np.int64).reshape(-1, 6)
     before = F.sum("n").over(Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    bases = written(counts.select("part", "length", F.coalesce(before, F.lit(0)).alias("__base")), "bases")
-    # The counts grow with the partitions: a merge join, whatever their size now.
-    ranked = pieces.join(bases.hint("merge"), ["part", "length"]).withColumn("__rank", F.col("__base") + F.col("place"))
+    folder = f"{shared_dir(pieces.sparkSession)}/bases"
+    counts.select("part", "length", F.coalesce(before, F.lit(0)).alias("base")).repartition("part").write.partitionBy("part").parquet(folder)
     shared = pieces.sparkSession.sparkContext.broadcast(table)
+    kept = [f for f in pieces.schema.fields if f.name not in ("part", "place")]
+    at = [f.name for f in kept].index("ids") if "ids" in pieces.columns else None
 
-    @F.arrow_udf("sequence_id bigint, offset bigint")
-    def place(length: pa.Array, rank: pa.Array) -> pa.Array:
-        t = shared.value
-        n, r = length.to_numpy(), rank.to_numpy()
-        # Runs are sorted by length and first rank; both fit one key.
-        wide = int(t[:, 1].max()) + int(r.max()) + 2
-        i = np.searchsorted(t[:, 0] * wide + t[:, 1], n * wide + r, side="right") - 1
-        beyond = r - t[i, 1]
-        return pa.StructArray.from_arrays([pa.array(t[i, 3] + beyond // t[i, 5]), pa.array(t[i, 4] + beyond % t[i, 5] * n)], names=["sequence_id", "offset"])
-
-    out = ranked.withColumn("__at", place("length", "__rank"))
-    return out.select(*(c for c in pieces.columns if c not in ("part", "place")), F.col("__at.sequence_id").alias("sequence_id"), F.col("__at.offset").alias("offset"))
+    def run(batches):
+        t, known = shared.value, {}
+        for b in batches:
+            if not b.num_rows:
+                continue
+            n, part = b.column("length").to_numpy(), b.column("part").to_numpy()
+            rank = b.column("place").to_numpy().copy()
+            for p in np.unique(part).tolist():
+                if p not in known:
+                    if len(known) == 64:
+                        known.clear()
+                    known[p] = _bases(folder, p, capacity)
+                rank[part == p] += known[p][n[part == p]]
+            # Runs are sorted by length and first rank; both fit one key.
+            wide = int(t[:, 1].max()) + int(rank.max()) + 2
+            i = np.searchsorted(t[:, 0] * wide + t[:, 1], n * wide + rank, side="right") - 1
+            beyond = rank - t[i, 1]
+            columns = [b.column(f.name) for f in kept]
+            if at is not None:
+                columns[at] = pa.array((_wide(x.as_py(), m) for x, m in zip(columns[at], n.tolist())), pa.binary())
+            columns += [pa.array(t[i, 3] + beyond // t[i, 5]), pa.array(t[i, 4] + beyond % t[i, 5] * n)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*(f.name for f in kept), "sequence_id", "offset"])
+
+    return pieces.mapInArrow(run, StructType([*kept, StructField("sequence_id", LongType()), StructField("offset", LongType())]))
+
+
+def _wide(ids: bytes, count: int) -> bytes:
+    """Token ids of any width as unsigned 32-bit integers."""
+    return np.frombuffer(ids, f"<u{len(ids) // count}").astype("<u4").tobytes()
 
 
 def packed(docs: DataFrame, capacity: int = 2048, end_id: int = 0, tokenizer: str | None = None, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
