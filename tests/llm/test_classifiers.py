@@ -130,6 +130,20 @@ def test_flattened_trees_score_as_the_trees_do():
     assert ((own > 0.5) == y).mean() > 0.97
 
 
+def test_quality_scores_against_brute_force(spark):
+    """Every document's score once more: its statistics go down each tree by itself."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    t = quality.fit(docs, labels)
+    own = {r.doc_id: r.score for r in quality.quality(docs, labels).collect()}
+    for r in docs.collect():
+        x, total = quality.statistics(r.text), t.base
+        for n in t.roots:
+            while t.left[n] != n:
+                n = t.left[n] if x[t.feature[n]] <= t.threshold[n] else t.right[n]
+            total += t.value[n]
+        assert abs(own[r.doc_id] - 1 / (1 + np.exp(-total))) < 1e-9
+
+
 def test_statistics_of_odd_texts():
     for t in [None, "", " ", "\n\n", "x" * 100_000, "a b " * 1000, "\ud83d", "é" * 10]:
         own = quality.statistics(t)
